@@ -163,18 +163,19 @@ def overlap_flag(
     """
     left, right, on = _level_join(a, a_start, a_end, b, b_start, b_end, keys, min_overlap,
                                   width, salt)
-    link = F.lit(True)
-    for c in on:
-        link = link & (F.col(c).outer() == F.col(f"_r{c}"))
-    outer = left.select("*", F.col(a_start).alias("_a_start"), F.col(a_end).alias("_a_end"))
-    shared = F.least(F.col("_a_end").outer(), F.col("_b_end")) - F.greatest(
-        F.col("_a_start").outer(), F.col("_b_start"))
+    # Outer names must not occur below the subquery, where they would bind first.
+    outer = left.select(
+        *a.columns, *[F.col(c).alias(f"_o{c}") for c in on],
+        F.col(a_start).alias("_a_start"), F.col(a_end).alias("_a_end"))
+    o_start, o_end = F.col("_a_start").outer(), F.col("_a_end").outer()
+    shared = F.least(o_end, F.col("_b_end")) - F.greatest(o_start, F.col("_b_start"))
     test = shared > 0
     if min_overlap is not None:
-        test = test & (
-            (shared >= min_overlap * (F.col("_a_end").outer() - F.col("_a_start").outer()))
-            | (shared >= min_overlap * (F.col("_b_end") - F.col("_b_start"))))
-    return outer.select(*a.columns, right.where(link & test).exists().alias(out))
+        test = test & ((shared >= min_overlap * (o_end - o_start))
+                       | (shared >= min_overlap * (F.col("_b_end") - F.col("_b_start"))))
+    for c in on:
+        test = test & (F.col(f"_o{c}").outer() == F.col(f"_r{c}"))
+    return outer.select(*a.columns, right.where(test).exists().alias(out))
 
 
 def _level_join(a, a_start, a_end, b, b_start, b_end, keys, min_overlap, width, salt):
