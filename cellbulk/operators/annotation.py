@@ -46,13 +46,13 @@ def tss_sites(tss: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def gtf_records(lines: DataFrame) -> DataFrame:
-    """Feature rows of a GTF text; comment lines are dropped."""
+def gtf_records(lines: DataFrame, *carry: str) -> DataFrame:
+    """Feature rows of a GTF text; comment lines are dropped, ``carry`` columns kept."""
     field = F.split("value", "\t")
     return lines.where(~F.col("value").startswith("#")).select(
         field[0].alias("contig"), field[2].alias("feature"),
         field[3].cast("long").alias("start"), field[4].cast("long").alias("end"),
-        field[6].alias("strand"), field[8].alias("attributes"),
+        field[6].alias("strand"), field[8].alias("attributes"), *carry,
     )
 
 

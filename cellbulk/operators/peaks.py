@@ -30,7 +30,7 @@ def treatment_pileup(counts: DataFrame, extension: int = C.TAG_EXTENSION,
     """Depth of tags widened around their insertion, optionally per million tags."""
     lo, hi = _around(F.col("pos"), extension)
     depth = coverage(counts.withColumns({"_lo": lo, "_hi": hi}), "_lo", "_hi", TRACK,
-                     {"depth": F.col("n")})
+                     {"depth": F.col("n")}, distinct=True)
     if not per_million:
         return depth.withColumnRenamed("depth", "value")
     return depth.join(tag_totals(counts), [*SET]).select(
@@ -46,7 +46,7 @@ def control_lambda(counts: DataFrame, genome_size: int, extension: int = C.TAG_E
     """Expected depth where tags are near: the larger of local and genome-wide rate."""
     lo, hi = _around(F.col("pos"), window)
     depth = coverage(counts.withColumns({"_lo": lo, "_hi": hi}), "_lo", "_hi", TRACK,
-                     {"depth": F.col("n")})
+                     {"depth": F.col("n")}, distinct=True)
     return depth.join(tag_totals(counts), [*SET]).select(
         *TRACK, "start", "end",
         F.greatest(F.col("depth") * float(extension) / float(window),
@@ -64,7 +64,8 @@ def scored_segments(counts: DataFrame, genome_size: int, extension: int = C.TAG_
     none = F.lit(0).cast("long")
     tags = counts.select(*TRACK, unfold(
         ["_lo", "_hi", "p", "c"], [*narrow, F.col("n"), none], [*wide, none, F.col("n")]))
-    both = coverage(tags, "_lo", "_hi", TRACK, {"pileup": F.col("p"), "near": F.col("c")})
+    both = coverage(tags, "_lo", "_hi", TRACK, {"pileup": F.col("p"), "near": F.col("c")},
+                    distinct=True)
     rated = both.join(tag_totals(counts), [*SET]).select(
         *TRACK, "start", "end", "pileup",
         F.greatest(F.col("near") * float(extension) / float(window),
@@ -79,7 +80,6 @@ def regions(segments: DataFrame, cutoff: float = C.SCORE_CUTOFF, max_gap: int =
     return number_islands(
         segments.where(F.col("score") >= cutoff), keys,
         lambda previous, current: current["start"] - previous["end"] <= max_gap,
-        ["start", "end"],
     )
 
 
@@ -190,7 +190,8 @@ def fisher_track(segments: DataFrame, chrom_sizes: DataFrame | None = None,
 def raw_insertion_track(counts: DataFrame) -> DataFrame:
     """Depth of the pooled one-base insertions."""
     pooled = counts.where(F.col("rep") == "t").withColumn("_hi", F.col("pos") + 1)
-    return coverage(pooled, "pos", "_hi", ["pseudobulk_id", "contig"], {"depth": F.col("n")})
+    return coverage(pooled, "pos", "_hi", ["pseudobulk_id", "contig"], {"depth": F.col("n")},
+                    distinct=True)
 
 
 def peak_coverage_track(peaks: DataFrame) -> DataFrame:

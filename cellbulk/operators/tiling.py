@@ -15,6 +15,19 @@ from pyspark.sql import functions as F
 ColumnFn = Callable[[WindowSpec], Column]
 
 
+def spread_by_tile(rows: DataFrame, keys: Sequence[str], tile: str) -> DataFrame:
+    """One exchange on (keys, tile), meant to be read by two branches of a plan.
+
+    The join of the branches would infer IS NOT NULL on one of them only and push
+    it below the exchange, which could then not be reused. Stated here, the test
+    is the same for both.
+    """
+    present = F.lit(True)
+    for name in (*keys, tile):
+        present = present & F.col(name).isNotNull()
+    return rows.where(present).repartition(*keys, tile)
+
+
 def with_tile_state(
     rows: DataFrame,
     keys: Sequence[str],
@@ -23,14 +36,16 @@ def with_tile_state(
     inside: Mapping[str, ColumnFn],
     summary: Mapping[str, Column],
     across: Mapping[str, ColumnFn],
+    placed: bool = False,
 ) -> DataFrame:
     """Add window columns computed inside tiles and state carried between tiles.
 
     ``inside`` columns see the rows of one tile in ``order``. ``summary``
     aggregates a tile to one row; ``across`` columns see those rows in tile order
-    within ``keys``. Key and tile columns must not be NULL.
+    within ``keys``. Key and tile columns must not be NULL. ``placed`` says that
+    the rows already come from ``spread_by_tile``.
     """
-    parted = rows.repartition(*keys, tile)
+    parted = rows if placed else spread_by_tile(rows, keys, tile)
     in_tile = Window.partitionBy(*keys, tile).orderBy(*order)
     local = parted.select("*", *[fn(in_tile).alias(name) for name, fn in inside.items()])
     over_tiles = Window.partitionBy(*keys).orderBy(tile)

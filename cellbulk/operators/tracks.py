@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 from cellbulk import constants as C
 from cellbulk.functions.genomics import slice_of
 from cellbulk.functions.rows import unfold
-from cellbulk.operators.tiling import before_here, up_to_here, with_tile_state
+from cellbulk.operators.tiling import (
+    before_here,
+    spread_by_tile,
+    up_to_here,
+    with_tile_state,
+)
 
 
 def coverage(
     intervals: DataFrame, start: str, end: str, keys: Sequence[str] = ("contig",),
-    weights: Mapping[str, Column] | None = None, tile: int = C.TILE,
+    weights: Mapping[str, Column] | None = None, tile: int = C.TILE, distinct: bool = False,
 ) -> DataFrame:
     """Runs (keys, start, end) of constant depth, where some depth is above zero.
 
@@ -24,6 +29,10 @@ def coverage(
     to each. Starts and ends are first summed per position, so a pile-up shrinks
     to one row before anything is ordered; a depth is the running total of those
     sums. All depths come from one pass and share their runs.
+
+    ``distinct`` promises that only a few intervals share a position, as after an
+    aggregation by position. A tile is then small however deep the pile-up, so
+    rows go to their tile at once and are summed there, which saves a shuffle.
     """
     weights = weights or {"depth": F.lit(1)}
     names = list(weights)
@@ -36,11 +45,12 @@ def coverage(
                [F.col("start"), *[F.col(n) for n in names]],
                [F.col("end"), *[-F.col(n) for n in names]]),
     )
-    changes = (
-        edges.groupBy(*keys, "start").agg(*[F.sum(n).alias(n) for n in names])
-        .where(F.greatest(*[F.abs(n) for n in names], F.lit(0)) > 0)
-        .withColumn("_tile", slice_of(F.col("start"), tile))
-    )
+    in_tile = edges.withColumn("_tile", slice_of(F.col("start"), tile))
+    if distinct:
+        in_tile = spread_by_tile(in_tile, keys, "_tile")
+    changes = in_tile.groupBy(*keys, "_tile", "start").agg(
+        *[F.sum(n).alias(n) for n in names]
+    ).where(F.greatest(*[F.abs(n) for n in names], F.lit(0)) > 0)
 
     def running(name: str):
         return lambda w: F.sum(name).over(up_to_here(w))
@@ -55,6 +65,7 @@ def coverage(
         summary={**{f"_sum_{n}": F.sum(n) for n in names}, "_first": F.min("start")},
         across={**{f"_before_{n}": carried(n) for n in names},
                 "_next_tile": lambda w: F.lead("_first").over(w)},
+        placed=distinct,
     )
     return state.select(
         *keys, "start", F.coalesce("_next", "_next_tile").alias("end"),
@@ -84,11 +95,15 @@ def overlay(
                [F.col("start"), True, F.col("_value")],
                [F.col("end"), False, F.lit(None).cast("double")]),
     )
-    # A run may end where the next begins; the larger struct, the one that is on, wins.
-    changes = events.groupBy(*keys, "start").agg(*[
+    # Runs of a track do not overlap, so a tile holds at most two events per base
+    # and track. A run may end where the next begins; the larger struct, the one
+    # that is on, wins.
+    in_tile = spread_by_tile(
+        events.withColumn("_tile", slice_of(F.col("start"), tile)), keys, "_tile")
+    changes = in_tile.groupBy(*keys, "_tile", "start").agg(*[
         F.max(F.when(F.col("_by") == name, F.struct("_on", "_value"))).alias(f"_c{i}")
         for i, name in enumerate(names)
-    ]).withColumn("_tile", slice_of(F.col("start"), tile))
+    ])
 
     def held(i: int):
         return lambda w: F.last(f"_c{i}", ignorenulls=True).over(up_to_here(w))
@@ -107,6 +122,7 @@ def overlay(
         summary={**{f"_l{i}": last_change(i) for i in every}, "_first": F.min("start")},
         across={**{f"_p{i}": carried(i) for i in every},
                 "_next_tile": lambda w: F.lead("_first").over(w)},
+        placed=True,
     )
     now = [F.coalesce(f"_h{i}", f"_p{i}") for i in every]
     flat = state.select(
@@ -137,19 +153,20 @@ def overlay_frames(tracks: Mapping[str, DataFrame], keys: Sequence[str] = ("cont
 
 def number_islands(
     runs: DataFrame, keys: Sequence[str], joins: Callable[[Column, Column], Column],
-    fields: Sequence[str], tile: int = C.TILE,
+    tile: int = C.TILE,
 ) -> DataFrame:
     """Number the maximal chains of ordered, non-overlapping runs from 1.
 
     ``joins(previous, current)`` tells whether a run continues the chain of its
-    predecessor; both are structs of ``fields``. Breaks are counted inside a tile
-    first; whether a tile's first run continues the tile before is settled on the
-    one-row-per-tile summaries.
+    predecessor; both are structs of the run's columns. Breaks are counted inside
+    a tile first; whether a tile's first run continues the tile before is settled
+    on the one-row-per-tile summaries.
     """
-    row = F.struct(*fields)
+    # The whole row, so that both branches ask the exchange for the same columns.
+    row = F.struct(*[c for c in runs.columns if c not in keys])
     in_tile = Window.partitionBy(*keys, "_tile").orderBy("start")
     local = (
-        runs.withColumn("_tile", slice_of(F.col("start"), tile)).repartition(*keys, "_tile")
+        spread_by_tile(runs.withColumn("_tile", slice_of(F.col("start"), tile)), keys, "_tile")
         .withColumn("_prev", F.lag(row).over(in_tile))
         .withColumn("_new", F.when(F.col("_prev").isNull() | joins(F.col("_prev"), row), 0)
                     .otherwise(1))
@@ -182,7 +199,7 @@ def merge_equal_neighbours(track: DataFrame, values: Sequence[str],
             equal = equal & previous[v].eqNullSafe(current[v])
         return equal
 
-    numbered = number_islands(track, keys, same, ["start", "end", *values], tile)
+    numbered = number_islands(track, keys, same, tile)
     return numbered.groupBy(*keys, "island").agg(
         F.min("start").alias("start"), F.max("end").alias("end"),
         *[F.first(v).alias(v) for v in values],
