@@ -44,6 +44,15 @@ def salted(big: DataFrame, small: DataFrame, salt: int, *identity: Column
     )
 
 
+def never_null(key: Column) -> Column:
+    """A join key Catalyst need not test for NULL.
+
+    It would push that test below the projections that compute the key and so
+    compute them twice. Rows without coordinates fail the residual test anyway.
+    """
+    return F.coalesce(key, F.lit(0))
+
+
 def _salt_for(small: DataFrame, salt: int | None) -> int:
     if salt is not None:
         return salt
@@ -68,7 +77,7 @@ def points_in_intervals(
     disjoint intervals every point appears exactly once.
     """
     spread = spread_over_bins(intervals, F.col(start), F.col(end), width)
-    binned = points.withColumn("_bin", slice_of(F.col(position), width))
+    binned = points.withColumn("_bin", never_null(slice_of(F.col(position), width)))
     left, right, extra = salted(binned, spread, _salt_for(intervals, salt),
                                 *[F.col(c) for c in points.columns])
     link = (*keys, "_bin", *extra)
@@ -95,13 +104,12 @@ def _widths(width: int) -> list[int]:
 
 
 def _level_and_bin(start: Column, length: Column, width: int) -> tuple[Column, Column]:
-    *finite, _ = _widths(width)
-    level, slot = F.lit(len(finite)), slice_of(start, 1 << 60)
-    for i in reversed(range(len(finite))):
-        fits = length <= finite[i]
-        level = F.when(fits, F.lit(i)).otherwise(level)
-        slot = F.when(fits, slice_of(start, finite[i])).otherwise(slot)
-    return level, slot
+    widths = _widths(width)
+    level = F.lit(0)
+    for w in widths[:-1]:
+        level = level + (length > w).cast("int")
+    chosen = F.get(F.array(*[F.lit(w) for w in widths]), level)
+    return never_null(level), never_null(F.floor(start / chosen).cast("long"))
 
 
 def _partners(b: DataFrame, b_start: str, b_end: str, keys: Sequence[str], width: int,
