@@ -16,7 +16,7 @@ from cellbulk.session import local_session  # noqa: E402
 
 HEADLINE = (
     "barcode_qc", "tss_pairs", "tss_profile", "tss_enrichment", "rna_cell_qc",
-    "pseudobulk_expression", "pseudoreps", "coverage_depth", "treatment_pileup",
+    "pseudobulk_expression", "pseudoreps", "coverage", "treatment_pileup",
     "control_lambda", "poisson_score", "call_regions", "fisher_combine",
     "reproducible_peaks", "fragments_in_peaks", "frip_per_cell", "combined_cell_qc",
     "pseudobulk_summary", "box_stats", "sort_fragments", "split_fragments",

@@ -89,10 +89,11 @@ def rounded(frame: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def query(fn: Callable[[Study], DataFrame]) -> Callable[[Study], DataFrame]:
+    """Register under the function's name; a trailing underscore frees a taken name."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rounded(fn(Study(spark, sf_dir)))
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return fn
 
 
@@ -354,7 +355,7 @@ def trim_intervals(s: Study) -> DataFrame:
 
 
 @query
-def coverage_depth(s: Study) -> DataFrame:
+def coverage_(s: Study) -> DataFrame:
     return coverage(s.fragments, "frag_start", "frag_end")
 
 
@@ -615,7 +616,7 @@ def file_classes(s: Study) -> DataFrame:
 
 
 @query
-def expected_files(s: Study) -> DataFrame:
+def inventory_(s: Study) -> DataFrame:
     return inventory.expected_files(s.file_listing)
 
 

@@ -25,7 +25,7 @@ def spread_by_tile(rows: DataFrame, keys: Sequence[str], tile: str) -> DataFrame
     present = F.lit(True)
     for name in (*keys, tile):
         present = present & F.col(name).isNotNull()
-    return rows.where(present).repartition(*keys, tile)
+    return rows.where(present).repartition(tile, *keys)
 
 
 def with_tile_state(
@@ -46,15 +46,17 @@ def with_tile_state(
     the rows already come from ``spread_by_tile``.
     """
     parted = rows if placed else spread_by_tile(rows, keys, tile)
-    in_tile = Window.partitionBy(*keys, tile).orderBy(*order)
+    # The tile leads: sorting compares the first key by its leading bytes, which
+    # tell tile numbers apart but rarely names.
+    in_tile = Window.partitionBy(tile, *keys).orderBy(*order)
     local = parted.select("*", *[fn(in_tile).alias(name) for name, fn in inside.items()])
     over_tiles = Window.partitionBy(*keys).orderBy(tile)
     state = (
-        parted.groupBy(*keys, tile)
+        parted.groupBy(tile, *keys)
         .agg(*[agg.alias(name) for name, agg in summary.items()])
         .select(*keys, tile, *[fn(over_tiles).alias(name) for name, fn in across.items()])
     )
-    return local.join(state, [*keys, tile])
+    return local.join(state, [tile, *keys])
 
 
 def up_to_here(window: WindowSpec) -> WindowSpec:

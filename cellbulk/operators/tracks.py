@@ -48,7 +48,7 @@ def coverage(
     in_tile = edges.withColumn("_tile", slice_of(F.col("start"), tile))
     if distinct:
         in_tile = spread_by_tile(in_tile, keys, "_tile")
-    changes = in_tile.groupBy(*keys, "_tile", "start").agg(
+    changes = in_tile.groupBy("_tile", *keys, "start").agg(
         *[F.sum(n).alias(n) for n in names]
     ).where(F.greatest(*[F.abs(n) for n in names], F.lit(0)) > 0)
 
@@ -100,7 +100,7 @@ def overlay(
     # that is on, wins.
     in_tile = spread_by_tile(
         events.withColumn("_tile", slice_of(F.col("start"), tile)), keys, "_tile")
-    changes = in_tile.groupBy(*keys, "_tile", "start").agg(*[
+    changes = in_tile.groupBy("_tile", *keys, "start").agg(*[
         F.max(F.when(F.col("_by") == name, F.struct("_on", "_value"))).alias(f"_c{i}")
         for i, name in enumerate(names)
     ])
@@ -164,7 +164,7 @@ def number_islands(
     """
     # The whole row, so that both branches ask the exchange for the same columns.
     row = F.struct(*[c for c in runs.columns if c not in keys])
-    in_tile = Window.partitionBy(*keys, "_tile").orderBy("start")
+    in_tile = Window.partitionBy("_tile", *keys).orderBy("start")
     local = (
         spread_by_tile(runs.withColumn("_tile", slice_of(F.col("start"), tile)), keys, "_tile")
         .withColumn("_prev", F.lag(row).over(in_tile))
@@ -175,7 +175,7 @@ def number_islands(
     over_tiles = Window.partitionBy(*keys).orderBy("_tile")
     before = F.col("_before")
     state = (
-        local.groupBy(*keys, "_tile")
+        local.groupBy("_tile", *keys)
         .agg(F.sum("_new").alias("_sum"), F.min_by(row, "start").alias("_first"),
              F.max_by(row, "start").alias("_last"))
         .withColumn("_before", F.lag("_last").over(over_tiles))
@@ -185,7 +185,7 @@ def number_islands(
                     - F.col("_sum"))
         .select(*keys, "_tile", "_base")
     )
-    return local.join(state, [*keys, "_tile"]).select(
+    return local.join(state, ["_tile", *keys]).select(
         *runs.columns, (F.col("_base") + F.col("_in")).alias("island"))
 
 

@@ -316,7 +316,7 @@ _RUNS = """SELECT {keys}, start, "end", depth FROM (
  SELECT {keys}, edge AS start, lead(edge) OVER (PARTITION BY {keys} ORDER BY edge) AS "end",
         CAST(sum(d) OVER (PARTITION BY {keys} ORDER BY edge) AS BIGINT) AS depth
  FROM (SELECT {keys}, edge, sum(d) AS d FROM ({edges}) GROUP BY {keys}, edge) WHERE d <> 0) WHERE depth > 0"""
-O["coverage_depth"] = _RUNS.format(keys="contig", edges="""SELECT contig, frag_start AS edge, 1 AS d FROM fragments
+O["coverage"] = _RUNS.format(keys="contig", edges="""SELECT contig, frag_start AS edge, 1 AS d FROM fragments
  UNION ALL SELECT contig, frag_end, -1 FROM fragments""")
 O["raw_insertions"] = O["bedgraph_sink"] = _RUNS.format(keys="pseudobulk_id, contig", edges="""SELECT pseudobulk_id, contig, pos AS edge, 1 AS d
  FROM memberins WHERE rep = 't' UNION ALL SELECT pseudobulk_id, contig, pos + 1, -1 FROM memberins WHERE rep = 't'""")
@@ -465,7 +465,7 @@ PARTS["classes"] = """SELECT * FROM (VALUES
  ('principal', 'pseudobulk_qc.tsv.gz', FALSE, 'tsv', 'aggregated pseudobulk quality report'))
  AS v(category, pattern, optional, format, content_type)"""
 O["file_classes"] = "SELECT l.*, c.* FROM file_listing l JOIN classes c ON l.name GLOB c.pattern"
-O["expected_files"] = """SELECT f.folder, c.pattern, c.content_type, l.name,
+O["inventory"] = """SELECT f.folder, c.pattern, c.content_type, l.name,
 CASE WHEN l.name IS NOT NULL THEN 'found' WHEN c.optional THEN 'absent' ELSE 'missing' END AS state
 FROM (SELECT DISTINCT folder FROM file_listing) f CROSS JOIN (SELECT * FROM classes WHERE category = 'pseudobulk') c
 LEFT JOIN file_listing l ON l.folder = f.folder AND l.name GLOB c.pattern"""
