@@ -1,6 +1,5 @@
 """Session helpers: local test sessions and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,8 @@ RECOMMENDED = {
 
 
 def local_session(app: str = "cellbulk", cpus: str | int = "*", memory: str = "8g",
-                  partitions: int = 8) -> SparkSession:
+                  partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """``shared`` names the working folder; left out, the deployment's setting holds."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.driver.memory", memory)
@@ -25,6 +25,8 @@ def local_session(app: str = "cellbulk", cpus: str | int = "*", memory: str = "8
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -33,16 +35,12 @@ def local_session(app: str = "cellbulk", cpus: str | int = "*", memory: str = "8
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that runs inside one process may fall back to a local folder.
+    The setting is read, never written: a session without it is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -59,3 +57,19 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     path = new_folder(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a frame made by ``saved``; the frame is empty afterwards.
+
+    An empty table overwrites them, so the delete goes through Spark's own writer and
+    works on any store.
+    """
+    spark = frame.sparkSession
+    folder = frame.inputFiles()[:1]
+    if folder:
+        path = folder[0].rsplit("/", 1)[0]
+        if not path.split("://")[-1].split(":")[-1].lstrip("/").startswith(
+                shared_dir(spark).split("://")[-1].split(":")[-1].lstrip("/")):
+            raise ValueError(f"{path} is not below the shared folder")
+        spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(path)

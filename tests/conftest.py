@@ -9,8 +9,9 @@ from cellbulk.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cpus=8, memory="8g", partitions=4)
+def spark(tmp_path_factory):
+    session = local_session("tests", cpus=8, memory="8g", partitions=4,
+                            shared=f"file://{tmp_path_factory.mktemp('shared')}")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
