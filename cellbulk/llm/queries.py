@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import token_count, url_filter, warc
+from cellbulk.llm import embedding_join, simhash, token_count, url_filter, warc
 from cellbulk.llm.common import table
 from cellbulk.session import new_folder, saved
 
@@ -39,6 +39,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("response.status").alias("http_status"))
 
 
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate classes of all embeddings at cosine 0.9."""
+    return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
@@ -46,6 +52,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    return simhash.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 # The rules of the URL contract.
 URL_RULES = [
     url_filter.Rule("com", "/", False),
