@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import embedding_join, simhash, token_count, url_filter, warc
+from cellbulk.llm import embedding_join, simhash, token_count, token_files, url_filter, warc
 from cellbulk.llm.common import table
 from cellbulk.session import new_folder, saved
 
@@ -24,6 +24,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of every document to shards and read them back."""
+    path = new_folder(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
+    return token_files.write_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "length")
+
+
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a capture, read the archives back, assemble transactions."""
