@@ -5,12 +5,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import embedding_join, simhash, token_count, token_files, url_filter, warc
+from cellbulk.llm import decontamination, embedding_join, simhash, token_count, token_files, url_filter, warc
 from cellbulk.llm.common import table
+from cellbulk.llm.oracles import ORACLES
 from cellbulk.session import new_folder, saved
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(function):
@@ -60,6 +60,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
+
+
 @query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
