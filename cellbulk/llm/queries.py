@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import decontamination, embedding_join, simhash, token_count, token_files, url_filter, warc
+from cellbulk.llm import decontamination, embedding_join, mixing, simhash, token_count, token_files, url_filter, warc
 from cellbulk.llm.common import table
 from cellbulk.llm.oracles import ORACLES
 from cellbulk.session import new_folder, saved
@@ -60,6 +60,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in a mix of sources weighted by the root of their size."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.with_positions(docs)
+
+
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
