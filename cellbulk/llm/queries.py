@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import decontamination, embedding_join, mixing, simhash, token_count, token_files, url_filter, warc
+from cellbulk.llm import decontamination, embedding_join, mixing, quality, simhash, token_count, token_files, toxicity, url_filter, warc
 from cellbulk.llm.common import table
 from cellbulk.llm.oracles import ORACLES
 from cellbulk.session import new_folder, saved
@@ -32,6 +32,12 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "length")
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a capture, read the archives back, assemble transactions."""
@@ -53,6 +59,12 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
