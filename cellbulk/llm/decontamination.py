@@ -166,7 +166,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that hold no benchmark window."""
     dirty = contamination(docs, items, key, text).where("contaminated").select(
-        F.col(key).alias("_doc"), "tag").distinct()
+        F.col(key).alias("_doc"), F.col("tag").alias("_dirty")).distinct()
     own = docs.withColumn("_tag", F.xxhash64(text_of(text)))
-    return own.join(dirty, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_tag") == F.col("tag")),
+    return own.join(dirty, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_tag") == F.col("_dirty")),
                     "left_anti").drop("_tag")
