@@ -56,55 +56,81 @@ def log_factorial(n: Column) -> Column:
     return F.when(n <= 20, small).otherwise(series)
 
 
+def _log_pmf(k: Column, lam: Column) -> Column:
+    """ln P(X = k), for large k from the deviance, which stays exact near the mean."""
+    x = F.greatest(k.cast("double"), F.lit(1.0))
+    deviance = x * F.log(x / lam) - (x - lam)
+    far = -deviance - 0.5 * F.log(2.0 * math.pi * x) - (
+        1.0 / (12.0 * x) - 1.0 / (360.0 * x * x * x) + 1.0 / (1260.0 * F.pow(x, F.lit(5.0))))
+    return F.when(k <= 20, k * F.log(lam) - lam - log_factorial(k)).otherwise(far)
+
+
 def poisson_score(k: Column, lam: Column) -> Column:
-    """-log10 P(X > k) for X ~ Poisson(lam), from the tail itself, never 1 - cdf.
+    """-log10 P(X > k) for X ~ Poisson(lam); NULL unless k and lam are numbers and lam > 0.
 
-    The tail is its first term times a series of ratios lam/(k+2), lam/(k+3), ...
-    The series grows until k+i passes lam and then shrinks geometrically, so its
-    length follows from both numbers.
+    Above the mean the upper tail is summed upwards from k + 1, so it is never taken as
+    1 - cdf. Below the mean the lower tail is summed downwards from k. Both series fall
+    from their first term; their length grows with the root of lam.
     """
-    first = F.floor(k).cast("long") + 1
-    log_first = first * F.log(lam) - lam - log_factorial(first)
-    length = F.ceil(
-        F.greatest(lam - first, F.lit(0.0)) + 12.0 * F.sqrt(lam + first) + 60.0
-    ).cast("int")
+    whole = F.floor(k).cast("long")
+    above = whole + 1 > lam
+    start = F.when(above, whole + 1).otherwise(F.greatest(whole, F.lit(0)))
+    length = F.ceil(12.0 * F.sqrt(lam + start) + 60.0).cast("int")
+
+    def step(acc: Column, i: Column) -> Column:
+        term = acc.term * F.when(above, lam / (start + i)).otherwise(
+            F.greatest(start - i + 1, F.lit(0)) / lam)
+        return F.struct(term.alias("term"), (acc.total + term).alias("total"))
+
     series = F.aggregate(
-        F.sequence(F.lit(1), length),
-        F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
-        lambda acc, i: F.struct(
-            (acc.term * lam / (first + i)).alias("term"),
-            (acc.total + acc.term * lam / (first + i)).alias("total"),
-        ),
-        lambda acc: acc.total,
-    )
-    return -(log_first + F.log(series)) / LN10
+        F.sequence(F.lit(1), length), F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
+        step, lambda acc: acc.total)
+    log_sum = _log_pmf(start, lam) + F.log(series)
+    score = F.when(above, -log_sum).otherwise(-F.log1p(-F.exp(log_sum))) / LN10
+    sound = k.isNotNull() & lam.isNotNull() & ~F.isnan(k.cast("double")) & ~F.isnan(lam) & (lam > 0)
+    return F.when(sound, F.when(whole < 0, F.lit(0.0)).otherwise(score))
 
 
 def _tail_scores(k: np.ndarray, lam: np.ndarray) -> np.ndarray:
-    first = np.floor(k) + 1.0
-    small = np.array([math.lgamma(v + 1.0) for v in range(256)])
-    x = np.maximum(first, 1.0)
-    stirling = (x * np.log(x) - x + 0.5 * np.log(2.0 * math.pi * x)
-                + 1.0 / (12.0 * x) - 1.0 / (360.0 * x**3) + 1.0 / (1260.0 * x**5))
-    log_fact = np.where(first < 256, small[np.minimum(first, 255).astype(np.int64)], stirling)
-    total = np.ones_like(lam)
-    term = np.ones_like(lam)
-    live = np.arange(lam.size)
-    i = 0
+    """``poisson_score`` of numbers; NaN where it is NULL."""
+    out = np.full(k.shape, np.nan)
+    sound = np.isfinite(k) & np.isfinite(lam) & (lam > 0)
+    if not sound.any():
+        return out
+    k, lam = np.floor(k[sound]), lam[sound]
+    above = k + 1 > lam
+    start = np.where(above, k + 1, np.maximum(k, 0.0))
+    small = np.array([math.lgamma(v + 1.0) for v in range(21)])
+    x = np.maximum(start, 1.0)
+    far = (-(x * np.log(x / lam) - (x - lam)) - 0.5 * np.log(2.0 * math.pi * x)
+           - (1.0 / (12.0 * x) - 1.0 / (360.0 * x**3) + 1.0 / (1260.0 * x**5)))
+    near = start * np.log(lam) - lam - small[np.minimum(start, 20).astype(np.int64)]
+    log_first = np.where(start <= 20, near, far)
+    total, term, live, i = np.ones_like(lam), np.ones_like(lam), np.arange(lam.size), 0
     while live.size:
         i += 1
-        step = term[live] * lam[live] / (first[live] + i)
-        term[live] = step
-        total[live] += step
-        falling = first[live] + i > lam[live]
-        live = live[~(falling & (step <= 1e-17 * total[live]))]
-    return -(first * np.log(lam) - lam - log_fact + np.log(total)) / LN10
-
-
-@pandas_udf(DoubleType())
-def poisson_score_arrow(k: pd.Series, lam: pd.Series) -> pd.Series:
-    """``poisson_score`` over Arrow batches; the cheaper one on long tracks."""
-    return pd.Series(_tail_scores(k.to_numpy(np.float64), lam.to_numpy(np.float64)))
+        ratio = np.where(above[live], lam[live] / (start[live] + i),
+                         np.maximum(start[live] - i + 1, 0.0) / lam[live])
+        term[live] *= ratio
+        total[live] += term[live]
+        live = live[term[live] > 1e-17 * total[live]]
+    log_sum = log_first + np.log(total)
+    lower = -np.log1p(-np.exp(np.where(above, -1.0, log_sum)))
+    out[sound] = np.where(k < 0, 0.0, np.where(above, -log_sum, lower) / LN10)
+    return out
+
+
+def _scores(k: pd.Series, lam: pd.Series) -> pd.Series:
+    """Segments repeat few pairs, so each distinct pair is worked out once."""
+    pairs = np.stack([k.to_numpy(np.float64, na_value=np.nan), lam.to_numpy(np.float64, na_value=np.nan)], axis=1)
+    distinct, place = np.unique(pairs, axis=0, return_inverse=True)
+    found = pd.Series(_tail_scores(distinct[:, 0], distinct[:, 1])[place.ravel()])
+    return found.astype(object).where(found.notna(), None)
+
+
+# Declared non-deterministic so that a filter on the score is not pushed below it, which
+# would plan the function twice: once to filter and once for the rows that are left.
+poisson_score_arrow = pandas_udf(_scores, DoubleType()).asNondeterministic()
 
 
 def fisher_combine(*scores: Column) -> Column:

@@ -36,6 +36,28 @@ def test_poisson_both_forms(spark, k, lam):
     assert row.arrow == pytest.approx(tail(k, lam), rel=1e-8, abs=1e-9)
 
 
+@pytest.mark.parametrize("k, lam, want", [
+    (0, 715.0, 0.0), (5000, 9000.0, 0.0), (0, 1e6, 0.0), (-1, 3.0, 0.0), (999_999, 1e6, 0.30098),
+    (4, None, None), (None, 2.0, None), (3, float("nan"), None), (3, 0.0, None)])
+def test_poisson_far_below_and_odd_input(spark, k, lam, want):
+    frame = spark.createDataFrame([(k, lam)], "k long, lam double")
+    row = frame.select(
+        S.poisson_score(F.col("k"), F.col("lam")).alias("native"),
+        S.poisson_score_arrow(F.col("k").cast("double"), F.col("lam")).alias("arrow")).first()
+    for got in (row.native, row.arrow):
+        assert got == (want if want is None else pytest.approx(want, abs=2e-4 if want else 1e-8))
+
+
+@pytest.mark.parametrize("k, lam", [(700, 715.0), (8900, 9000.0), (9400, 9000.0), (20, 25.5), (99_000, 1e5)])
+def test_poisson_at_depth(spark, k, lam):
+    upper = math.fsum(math.exp(i * math.log(lam) - lam - math.lgamma(i + 1)) for i in range(k + 1, k + 20_000))
+    frame = spark.createDataFrame([(k, lam)], "k long, lam double")
+    row = frame.select(S.poisson_score(F.col("k"), F.col("lam")).alias("native"),
+                       S.poisson_score_arrow(F.col("k").cast("double"), F.col("lam")).alias("arrow")).first()
+    assert row.native == pytest.approx(row.arrow, rel=1e-9, abs=1e-12)
+    assert row.arrow == pytest.approx(-math.log10(upper), rel=1e-6, abs=1e-8)
+
+
 def test_fisher_of_three(spark):
     score = 6.2957935 / math.log(10) / 3
     got = one(spark, S.fisher_combine(*[F.lit(score)] * 3))
