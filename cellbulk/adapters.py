@@ -5,7 +5,6 @@ Spark SQL and DuckDB, so the oracles start from the same rows. ``{name}`` marks
 a base table or an earlier view.
 """
 
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -203,26 +202,12 @@ FROM {customer} CROSS JOIN (VALUES ('fragments.tsv.gz', 1), ('peaks.narrowPeak.g
 """
 
 
-@cache
-def _order() -> tuple[str, ...]:
-    return tuple(VIEWS)
-
-
 def duck(name: str) -> str:
     """The view's text for DuckDB, where base tables and CTEs go by their names."""
     names = {n: n for n in (*BASE_TABLES, *VIEWS)}
     return VIEWS[name].format(**names).strip()
 
 
-def ctes(*names: str) -> str:
-    """``WITH`` clause defining the named views and whatever they build on."""
-    wanted: list[str] = []
-    for name in _order():
-        if name in names or any(f"{{{name}}}" in VIEWS[n] for n in names):
-            wanted.append(f"{name} AS ({duck(name)})")
-    return "WITH " + ",\n".join(wanted)
-
-
 class Tables:
     """Base tables of one scale-factor folder and the views derived from them."""
 

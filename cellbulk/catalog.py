@@ -12,6 +12,10 @@ from cellbulk.functions import stats as S
 from cellbulk.operators import annotation, atac, inventory, peaks, qc, report, rna
 from cellbulk.operators.intervals import clip_to_contigs, genome_sorted
 from cellbulk.operators.tracks import coverage, overlay
+from cellbulk.plans import atac as atac_plan
+from cellbulk.plans import peaks as peak_plan
+from cellbulk.plans import rna as rna_plan
+from cellbulk.plans import summary as summary_plan
 from cellbulk.session import new_folder, saved
 from cellbulk.sources import checksums, readers, writers
 from cellbulk.streaming import ingest
@@ -40,6 +44,10 @@ class Study(Tables):
     def sites(self) -> DataFrame:
         return annotation.tss_sites(self.tss)
 
+    @cached_property
+    def bands(self) -> DataFrame:
+        return saved(atac.tss_band_weights(self.sites), "tss-bands")
+
     @cached_property
     def members(self) -> DataFrame:
         return atac.pseudobulk_fragments(self.fragments, self.assignments, self.chrom_sizes)
@@ -54,7 +62,7 @@ class Study(Tables):
 
     @cached_property
     def atac_qc(self) -> DataFrame:
-        counters = atac.barcode_counters(self.fragments, self.chrom_sizes, self.tss)
+        counters = atac.barcode_counters(self.fragments, self.chrom_sizes, self.tss, bands=self.bands)
         return atac.barcode_qc(counters, self.assignments)
 
     @cached_property
@@ -257,6 +265,13 @@ def bedgraph_sink(s: Study) -> DataFrame:
     return s.spark.read.parquet(path)
 
 
+@query
+def text_md5(s: Study) -> DataFrame:
+    """MD5 of every document's text."""
+    docs = s.spark.read.parquet(f"{s.sf_dir}/documents.parquet")
+    return docs.select("doc_id", checksums.text_md5(F.col("text")).alias("md5"))
+
+
 @query
 def file_md5(s: Study) -> DataFrame:
     return checksums.file_md5(s.spark, s.sf_dir, "*.parquet").drop("path")
@@ -317,6 +332,81 @@ def tss_profile(s: Study) -> DataFrame:
     return atac.tss_profile(atac.insertions(s.fragments), s.sites)
 
 
+@query
+def tss_profile_pseudobulk(s: Study) -> DataFrame:
+    profile = atac.tss_profile(atac.insertions(s.fragments), s.sites)
+    return atac.tss_profile_pseudobulk(profile, s.assignments)
+
+
+@query
+def tss_rows(s: Study) -> DataFrame:
+    """Profile rows of the barcodes with at least five fragments, from stored tables."""
+    profile, table = s.folder("tss-profile"), s.folder("atac-qc")
+    atac.tss_profile(atac.insertions(s.fragments), s.sites).write.parquet(profile)
+    s.atac_qc.write.parquet(table)
+    return readers.load_atac_qc(s.spark, table, F.col("num_frags") >= 5, need_tss=profile)[1]
+
+
+@query
+def assign_repeated(s: Study) -> DataFrame:
+    """Barcodes listed twice, the second time under another cell name: the last row counts."""
+    first = s.metadata.withColumn("_sequence", F.lit(1))
+    last = s.metadata.withColumns({"_sequence": F.lit(2), "cell_name": F.concat("cell_name", F.lit(" again"))})
+    named = annotation.with_pseudobulk_ids(first.unionByName(last))
+    return annotation.barcode_assignments(named, "_sequence").select(*atac.BARCODE, "cell_name")
+
+
+@query
+def scan_inputs(s: Study) -> DataFrame:
+    """Count tables found by a pattern and by a listing file; both name the same rows."""
+    folder = s.folder("inputs")
+    for i in range(2):
+        s.counts.where(F.abs(F.hash("barcode_sample")) % 2 == i).write.parquet(f"{folder}/set{i}/counts")
+    listing = s.folder("listing")
+    s.spark.sql("SELECT explode(array('set0', 'set1')) AS name").select(
+        F.concat(F.lit(f"{folder}/"), "name", F.lit("/counts"))).coalesce(1).write.text(listing)
+    found = readers.scan_inputs(s.spark, f"{folder}/*/counts")
+    return found.intersectAll(readers.scan_inputs(s.spark, listing, listing=True))
+
+
+# --- whole plans, written and read back ---------------------------------------------
+
+
+@query
+def plan_split_fragments(s: Study) -> DataFrame:
+    paths = atac_plan.split_fragments(s.spark, s.fragments, s.metadata, s.chrom_sizes, s.tss, s.folder("plan"))
+    return s.spark.read.parquet(paths["atac_qc"])
+
+
+@query
+def plan_rna(s: Study) -> DataFrame:
+    paths = rna_plan.pseudobulk_rna(s.spark, s.counts, s.gene_universe, s.gene_info, s.metadata, s.folder("plan"))
+    return s.spark.read.parquet(paths["rna_qc"])
+
+
+@query
+def plan_call_peaks(s: Study) -> DataFrame:
+    paths = peak_plan.call_peaks(s.spark, s.members, s.chrom_sizes, s.blacklist, s.folder("plan"),
+                                 genome_size=GENOME_SIZE)
+    return s.spark.read.parquet(paths["peaks"]).drop("name")
+
+
+@query
+def plan_summary(s: Study) -> DataFrame:
+    whole = qc.pseudobulk_summary(
+        s.assignments, qc.per_cell_qc(s.rna_qc, s.atac_qc, s.frip, s.assignments), s.atac_qc, s.expression, s.frip)
+    paths = summary_plan.summarize_pseudobulks(
+        s.spark, s.assignments, s.atac_qc, s.rna_qc, s.expression, s.frip, s.folder("plan"))
+    return s.spark.read.csv(paths["pseudobulk_qc"], sep="\t", header=True, schema=whole.schema)
+
+
+@query
+def plan_combine(s: Study) -> DataFrame:
+    path = summary_plan.combine_accessions(s.rna_qc, s.atac_qc, s.folder("plan"))
+    return s.spark.read.csv(path, sep="\t", header=True, schema=schemas.ACCESSION_QC).select(
+        *schemas.ACCESSION_QC.names)
+
+
 @query
 def tss_enrichment(s: Study) -> DataFrame:
     profile = atac.tss_profile(atac.insertions(s.fragments), s.sites)
@@ -425,6 +515,18 @@ def poisson_score_native(s: Study) -> DataFrame:
     return pairs.withColumn("score", S.poisson_score(F.col("pileup"), F.col("lambda")))
 
 
+@query
+def poisson_score_deep(s: Study) -> DataFrame:
+    """Scores of every customer's pair, with backgrounds from 0.01 to a million."""
+    number = F.col("c_custkey").cast("long")
+    lam = F.pow(F.lit(10.0), (number * 7919 % 801) / 100.0 - 2.0)
+    pairs = s.spark.read.parquet(f"{s.sf_dir}/customer.parquet").select(
+        "c_custkey", lam.alias("background"),
+        F.floor(lam * (0.9 + (number % 21) / 100.0)).cast("long").alias("pileup"))
+    return pairs.withColumn(
+        "score", S.poisson_score_arrow(F.col("pileup").cast("double"), F.col("background")))
+
+
 @query
 def fisher_combine(s: Study) -> DataFrame:
     return peaks.fisher_track(s.segments, s.chrom_sizes)
@@ -530,11 +632,11 @@ def cell_set_check(s: Study) -> DataFrame:
 @query
 def union_relaxed(s: Study) -> DataFrame:
     """Accession and per-cell tables of differing columns in one frame of doubles."""
-    cell = s.rna_qc.drop("annotated").withColumn("rna_read_count",
-                                                 F.col("rna_read_count").cast("double"))
-    fragment = s.atac_qc.select(*atac.BARCODE, "pseudobulk_id",
-                                F.col("num_frags").cast("double").alias("num_frags"))
-    return cell.unionByName(fragment, allowMissingColumns=True)
+    cell = s.rna_qc.drop("annotated")
+    fragment = s.atac_qc.select(
+        *atac.BARCODE, "pseudobulk_id", F.col("num_frags").cast("double").alias("num_frags"),
+        F.lit(None).cast("double").alias("rna_read_count"))
+    return report.union_relaxed(cell, fragment)
 
 
 # --- report ---------------------------------------------------------------------------

@@ -11,7 +11,6 @@ from cellbulk.functions.rows import unfold
 from cellbulk.operators.annotation import tss_sites
 from cellbulk.operators.intervals import points_in_intervals
 from cellbulk.operators.tracks import coverage
-from cellbulk.session import saved
 
 BARCODE = ["analysis_set_accession", "barcode_sample"]
 
@@ -127,6 +126,12 @@ def enrichment_from_profile(profile: DataFrame, keys: list[str] = BARCODE,
                  S.tss_enrichment(F.col("center"), F.col("flank"), half_smooth, flank))
 
 
+def tss_profile_pseudobulk(profile: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Slot profile of every pseudobulk: the sum over its barcodes."""
+    known = assignments.select(*BARCODE, "pseudobulk_id")
+    return profile.join(known, BARCODE).groupBy("pseudobulk_id", "slot").agg(F.sum("n").alias("n"))
+
+
 def tss_band_weights(sites: DataFrame, half_window: int = C.TSS_HALF_WINDOW,
                      half_smooth: int = C.TSS_HALF_SMOOTH,
                      flank: int = C.TSS_FLANK) -> DataFrame:
@@ -153,14 +158,15 @@ def tss_band_weights(sites: DataFrame, half_window: int = C.TSS_HALF_WINDOW,
 
 def barcode_counters(fragments: DataFrame, chrom_sizes: DataFrame, tss: DataFrame,
                      half_window: int = C.TSS_HALF_WINDOW,
-                     half_smooth: int = C.TSS_HALF_SMOOTH, gate_qc: bool = False) -> DataFrame:
+                     half_smooth: int = C.TSS_HALF_SMOOTH, gate_qc: bool = False,
+                     bands: DataFrame | None = None) -> DataFrame:
     """Additive counters per (accession, barcode), from one scan of the fragments.
 
     Each fragment yields its two insertions; the first of them also carries the
     fragment's own counters. An insertion meets at most one band run, so the left
     join copies nothing, and map-side combination shrinks a barcode that holds a
     large share of the fragments before it is shuffled. Contigs off the list count
-    unless ``gate_qc``.
+    unless ``gate_qc``. ``bands`` takes ``tss_band_weights`` made, and best written, before.
     """
     listed = chrom_sizes.select(F.col("chr").alias("contig"), F.lit(True).alias("_listed"))
     source = contig_gate(fragments, chrom_sizes) if gate_qc else fragments
@@ -177,7 +183,8 @@ def barcode_counters(fragments: DataFrame, chrom_sizes: DataFrame, tss: DataFram
             [G.shifted_end(end) - 1, none, none, none, none],
         ),
     )
-    bands = saved(tss_band_weights(tss_sites(tss), half_window, half_smooth), "tss-bands")
+    if bands is None:
+        bands = tss_band_weights(tss_sites(tss), half_window, half_smooth)
     met = points_in_intervals(points, "pos", bands, "start", "end", ["contig"], width=256,
                               how="left")
     return met.groupBy(*BARCODE).agg(

@@ -28,15 +28,17 @@ def glob_regex(pattern: str) -> str:
     return "^" + "".join(parts.get(c, f"\\Q{c}\\E") for c in pattern) + "$"
 
 
-def _classes(category: str | None) -> Column:
+def _classes(category: str | None) -> list[tuple[Column, Column]]:
+    """(class, whether ``name`` matches it) of each class; every pattern is a literal, so
+    it is compiled once."""
     rows = [r for r in FILE_CLASSES if category in (None, r[0])]
     if not rows:
         raise ValueError(f"no file class of category {category}")
-    return F.array(*[
-        F.struct(F.lit(c).alias("category"), F.lit(p).alias("pattern"),
-                 F.lit(o).alias("optional"), F.lit(f).alias("format"),
-                 F.lit(t).alias("content_type"), F.lit(glob_regex(p)).alias("_regex"))
-        for c, p, o, f, t in rows])
+    return [
+        (F.struct(F.lit(c).alias("category"), F.lit(p).alias("pattern"),
+                  F.lit(o).alias("optional"), F.lit(f).alias("format"),
+                  F.lit(t).alias("content_type")), F.col("name").rlike(glob_regex(p)))
+        for c, p, o, f, t in rows]
 
 
 def classify_files(listing: DataFrame, category: str | None = None) -> DataFrame:
@@ -44,16 +46,27 @@ def classify_files(listing: DataFrame, category: str | None = None) -> DataFrame
 
     The classes are a literal array tested inside each row, so no join is needed.
     """
-    matching = F.filter(_classes(category), lambda c: F.rlike(F.col("name"), c["_regex"]))
-    return listing.select("*", F.inline(matching)).drop("_regex")
+    matching = F.array_compact(F.array(*[F.when(hit, kind) for kind, hit in _classes(category)]))
+    return listing.select("*", F.inline(matching))
 
 
-def expected_files(listing: DataFrame, category: str = "pseudobulk") -> DataFrame:
-    """Every (folder, class) with its state: found, absent (optional) or missing."""
-    per_folder = listing.select("folder", "name", F.inline(_classes(category)))
-    matched = F.when(F.rlike(F.col("name"), F.col("_regex")), F.col("name"))
-    states = per_folder.groupBy("folder", "pattern", "optional", "content_type").agg(
-        F.min(matched).alias("name"))
+def expected_files(listing: DataFrame, category: str = "pseudobulk",
+                   folders: DataFrame | None = None) -> DataFrame:
+    """Every (folder, class) with its state: found, absent (optional) or missing.
+
+    ``folders`` (folder) lists folders that should exist, so one without any file is
+    reported too.
+    """
+    classes = _classes(category)
+    rows = listing.select("folder", "name")
+    if folders is not None:
+        rows = rows.unionByName(folders.select("folder", F.lit(None).cast("string").alias("name")))
+    found = rows.groupBy("folder").agg(*[
+        F.min(F.when(hit, F.col("name"))).alias(f"_n{i}") for i, (_, hit) in enumerate(classes)])
+    states = found.select("folder", F.inline(F.array(*[
+        F.struct(kind["pattern"].alias("pattern"), kind["optional"].alias("optional"),
+                 kind["content_type"].alias("content_type"), F.col(f"_n{i}").alias("name"))
+        for i, (kind, _) in enumerate(classes)])))
     return states.select(
         "folder", "pattern", "content_type", "name",
         F.when(F.col("name").isNotNull(), "found")

@@ -91,9 +91,32 @@ def category_pct(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = text.unpivot([], list(columns), "metric", "category").where(
         F.col("category").isNotNull())
     counted = long.groupBy("metric", "category").agg(F.count("*").alias("count"))
-    total = F.sum("count").over(Window.partitionBy("metric"))
-    return counted.select("metric", "category", "count",
-                          (F.col("count") * 100 / total).alias("pct"))
+    # Totals by aggregation: a window would put a metric's categories into one task.
+    totals = counted.groupBy("metric").agg(F.sum("count").alias("total"))
+    return counted.join(totals, "metric").select(
+        "metric", "category", "count", (F.col("count") * 100 / F.col("total")).alias("pct"))
+
+
+def union_relaxed(*tables: DataFrame) -> DataFrame:
+    """All rows of the tables under all their columns; a missing column is NULL.
+
+    Where number types differ a column becomes double, where others differ text.
+    """
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    kinds: dict[str, set[str]] = {}
+    for table in tables:
+        for name, kind in table.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+
+    def cast(table: DataFrame) -> DataFrame:
+        changed = {name: F.col(f"`{name}`").cast("double" if kinds[name] <= set(numbers) else "string")
+                   for name, _ in table.dtypes if len(kinds[name]) > 1}
+        return table.withColumns(changed) if changed else table
+
+    whole = cast(tables[0])
+    for table in tables[1:]:
+        whole = whole.unionByName(cast(table), allowMissingColumns=True)
+    return whole
 
 
 def input_presence(accessions: DataFrame, with_fragments: DataFrame,

@@ -354,6 +354,12 @@ O["fisher_combine"] = ("""SELECT pseudobulk_id, contig, start, "end", round((s -
                        + _OVERLAY.format(track="clipped", values="(a.score + b.score + c.score) * ln(10) AS s") + ")")
 O["poisson_score"] = f"""SELECT pseudobulk_id, rep, contig, start, "end", pileup, {_round('lam').replace('AS lam', 'AS "lambda"')}, {_round('score')} FROM scored"""
 O["poisson_score_native"] = f"""SELECT pileup, {_round('lam').replace('AS lam', 'AS "lambda"')}, {_round('score')} FROM pscores"""
+O["poisson_score_deep"] = """SELECT c_custkey, round(lam, 6) AS background, k AS pileup, round(CASE WHEN k + 1 > lam
+ THEN -((k + 1) * ln(lam) - lam - lgamma(k + 2) + ln(list_sum(list_transform(range(k + 1, k + 2 + CAST(ceil(12 * sqrt(lam + k + 1) + 60) AS BIGINT)), lambda i: exp((i - k - 1) * ln(lam) - lgamma(i + 1) + lgamma(k + 2)))))) / ln(10)
+ ELSE -log10(1 - list_sum(list_transform(range(greatest(0, k - CAST(ceil(12 * sqrt(lam + 1) + 60) AS BIGINT)), k + 1), lambda i: exp(i * ln(lam) - lam - lgamma(i + 1))))) END, 6) AS score
+FROM (SELECT c_custkey, lam, CAST(floor(lam * (0.9::DOUBLE + (c_custkey % 21) / 100.0::DOUBLE)) AS BIGINT) AS k
+      FROM (SELECT c_custkey, pow(10.0::DOUBLE, (CAST(c_custkey AS BIGINT) * 7919 % 801) / 100.0::DOUBLE - 2.0::DOUBLE) AS lam FROM customer))"""
+O["text_md5"] = "SELECT doc_id, md5(text) AS md5 FROM documents"
 O["call_regions"] = """SELECT pseudobulk_id, rep, contig, min(start) AS pk_start, max("end") AS pk_end,
 CAST(floor((first(start ORDER BY pileup DESC, score DESC, start) + first("end" ORDER BY pileup DESC, score DESC, start)) / 2) AS BIGINT) AS summit,
 max(pileup) AS pileup,
@@ -473,6 +479,19 @@ O["id_reconcile"] = """SELECT coalesce(f.b, m.b) AS barcode_sample,
 CASE WHEN f.b IS NULL THEN 'right_only' WHEN m.b IS NULL THEN 'left_only' ELSE 'both' END AS status
 FROM (SELECT DISTINCT barcode_sample AS b FROM fragments) f FULL JOIN (SELECT DISTINCT barcode_sample AS b FROM metadata) m ON f.b = m.b"""
 
+O["tss_profile_pseudobulk"] = """SELECT pseudobulk_id, slot, count(*) AS n FROM pairs
+JOIN asg USING (analysis_set_accession, barcode_sample) GROUP BY 1, 2"""
+O["tss_rows"] = """SELECT analysis_set_accession, barcode_sample, slot, count(*) AS n FROM pairs
+WHERE (analysis_set_accession, barcode_sample) IN (
+  SELECT (analysis_set_accession, barcode_sample) FROM fragments GROUP BY analysis_set_accession, barcode_sample HAVING count(*) >= 5)
+GROUP BY 1, 2, 3"""
+O["assign_repeated"] = """SELECT DISTINCT analysis_set_accession, barcode_sample, concat(cell_name, ' again') AS cell_name FROM metadata"""
+O["scan_inputs"] = "SELECT * FROM counts"
+# A plan that is written and read back holds what its operators compute.
+for _plan, _same in {"plan_split_fragments": "barcode_qc", "plan_rna": "rna_cell_qc", "plan_call_peaks": "called_peaks",
+                     "plan_summary": "pseudobulk_summary", "plan_combine": "combined_cell_qc"}.items():
+    O[_plan] = O[_same]
+
 
 def statement(select: str) -> str:
     """The select with every view and part it needs in front of it."""

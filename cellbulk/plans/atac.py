@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cellbulk import checks
 from cellbulk import constants as C
 from cellbulk.operators import annotation, atac
+from cellbulk.session import saved
 from cellbulk.sources import writers
 
 
@@ -25,14 +26,22 @@ def split_fragments(
     replicate, is the table the peak plan starts from.
     """
     paths = {name: f"{output}/{name}" for name in (
-        "assignments", "atac_qc", "members", "streams", "sorted_fragments")}
-    assignments_of(metadata).write.mode("overwrite").parquet(paths["assignments"])
+        "assignments", "atac_qc", "tss_profile", "tss_profile_pseudobulk", "members", "streams", "sorted_fragments")}
+    assignments_of(metadata, "_sequence" if "_sequence" in metadata.columns else None).write.mode("overwrite").parquet(paths["assignments"])
     assigned = spark.read.parquet(paths["assignments"])
 
-    counters = atac.barcode_counters(fragments, chrom_sizes, tss, half_window, half_smooth)
+    sites = annotation.tss_sites(tss)
+    bands = saved(atac.tss_band_weights(sites, half_window, half_smooth), "tss-bands")
+    counters = atac.barcode_counters(fragments, chrom_sizes, tss, half_window, half_smooth, bands=bands)
     writers.write_partitioned(atac.barcode_qc(counters, assigned, half_smooth),
                               paths["atac_qc"], ["analysis_set_accession"])
 
+    # The whole profile, so that other smoothing and flanks can be tried afterwards.
+    profile = atac.tss_profile(atac.insertions(fragments), sites, half_window=half_window)
+    writers.write_partitioned(profile, paths["tss_profile"], ["analysis_set_accession"])
+    atac.tss_profile_pseudobulk(spark.read.parquet(paths["tss_profile"]), assigned).write.mode(
+        "overwrite").parquet(paths["tss_profile_pseudobulk"])
+
     members = atac.pseudobulk_fragments(fragments, assigned, chrom_sizes, seed)
     writers.write_partitioned(members, paths["members"], ["pseudobulk_id"])
     kept = spark.read.parquet(paths["members"])

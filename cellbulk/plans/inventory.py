@@ -18,7 +18,8 @@ def output_inventory(spark: SparkSession, folder: str, mapping: DataFrame, recor
     listing = files.select("folder", "name")
     return {
         "files": inventory.classify_files(files),
-        "expected": inventory.expected_files(listing),
+        "expected": inventory.expected_files(
+            listing, folders=mapping.select(F.col("pseudobulk_id").alias("folder"))),
         "pseudobulks": inventory.id_reconcile(
             listing.select(F.col("folder").alias("pseudobulk_id")),
             mapping.select("pseudobulk_id"), "pseudobulk_id"),

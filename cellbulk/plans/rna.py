@@ -17,7 +17,8 @@ def pseudobulk_rna(
     named = annotation.with_pseudobulk_ids(checks.checked_metadata(metadata))
     annotation.cell_name_mapping(named).write.mode("overwrite").csv(
         paths["cell_name_mapping"], sep="\t", header=True)
-    annotation.barcode_assignments(named).write.mode("overwrite").parquet(
+    annotation.barcode_assignments(
+        named, "_sequence" if "_sequence" in named.columns else None).write.mode("overwrite").parquet(
         paths["rna_assignments"])
     assigned = spark.read.parquet(paths["rna_assignments"])
 

@@ -1,4 +1,7 @@
-"""Column layouts of the native inputs and of the published outputs."""
+"""Column layouts of the native inputs and of the published outputs.
+
+Fixed values: the names are those of the published tables.
+"""
 
 from pyspark.sql import types as T
 
@@ -11,15 +14,9 @@ def _struct(**cols: T.DataType) -> T.StructType:
 
 FRAGMENT = _struct(contig=_S, frag_start=_L, frag_end=_L, barcode_sample=_S, num_reads=_L)
 CHROM_SIZES = _struct(chr=_S, size=_L)
-BLACKLIST = _struct(contig=_S, bl_start=_L, bl_end=_L)
 TSS = _struct(gene=_S, transcript=_S, chro=_S, TSS=_L, strand=_S)
 GENE_INFO = _struct(gene_id=_S, gene_name=_S, mt=_B, ribo=_B)
 COUNTS = _struct(analysis_set_accession=_S, barcode_sample=_S, gene_id=_S, count=_L)
-NARROW_PEAK = _struct(
-    contig=_S, pk_start=_L, pk_end=_L, name=_S, score=_L, strand=_S,
-    signal_value=_D, neg_log10_p=_D, neg_log10_q=_D, summit_offset=_L,
-)
-BEDGRAPH = _struct(contig=_S, bg_start=_L, bg_end=_L, value=_D)
 
 METADATA_REQUIRED = (
     "barcode_sample", "cell_name", "cell_description", "CL_id", "CL_term_name",
@@ -30,19 +27,10 @@ MAPPING_COLUMNS = (
     "pseudobulk_id", "cell_name", "annotation", "CL_id", "cell_description", "subsample",
 )
 
-ATAC_QC_COLUMNS = (
-    "analysis_set_accession", "barcode_sample", "pseudobulk_id", "annotated", "num_frags",
-    "pct_duplicated_reads", "nucleosomal_signal", "tss_enrichment", "raw-num_reads",
-    "raw-num_dup_reads", "raw-mono_nucleosomal_frags", "raw-nucleosome_free_frags",
-)
 # The TSS matrix summed over the two bands the enrichment needs: additive, so a
 # pseudobulk value is a sum of barcode values.
 ATAC_TSS_COLUMNS = ("raw-tss_center", "raw-tss_flank")
 
-RNA_QC_COLUMNS = (
-    "analysis_set_accession", "barcode_sample", "annotated", "pseudobulk_id",
-    "rna_read_count", "gene_count", "pct_mito", "pct_ribo",
-)
 FRONT_COLUMNS = (
     "analysis_set_accession", "barcode_sample", "annotated", "found_in_rna",
     "found_in_atac", "pseudobulk_id",
@@ -59,16 +47,6 @@ ACCESSION_QC = _struct(
     pct_ribo=_D, num_frags=_D, pct_duplicated_reads=_D, nucleosomal_signal=_D,
     tss_enrichment=_D,
 )
-PER_CELL_QC = _struct(
-    analysis_set_accession=_S, barcode_sample=_S, subsample=_S, rna_read_count=_D,
-    gene_count=_D, pct_mito=_D, pct_ribo=_D, num_frags=_D, pct_duplicated_reads=_D,
-    nucleosomal_signal=_D, tss_enrichment=_D, frip=_D,
-)
-INPUT_PRESENCE = T.StructType(
-    [T.StructField("accession", _S)]
-    + [T.StructField(c, _L)
-       for c in ("frag", "matrix", "only-frag", "only-matrix", "both", "neither")]
-)
 
 _FILE = _struct(accession=_S, content_type=_S, aliases=T.ArrayType(_S))
 FILE_SET_RECORD = _struct(

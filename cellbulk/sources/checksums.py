@@ -1,4 +1,4 @@
-"""MD5 of files of any size, one task per file, read in blocks."""
+"""MD5 of files of any size, spread over tasks, read in blocks."""
 
 import hashlib
 import sys
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellbulk.sources.readers import file_listing
@@ -34,18 +34,19 @@ def _with_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(md5=[_digest(uri) for uri in uris])
 
 
-def file_md5(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """Name, length and MD5 of every file; contents stream through the tasks."""
+def file_md5(spark: SparkSession, path: str, name_glob: str | None = None,
+             tasks: int | None = None) -> DataFrame:
+    """Name, length and MD5 of every file; contents stream through the tasks.
+
+    The listing is dealt round robin to ``tasks``, by default one per file and at most
+    10,000; a given number is not coalesced by adaptive execution.
+    """
     files = file_listing(spark, path, name_glob)
-    spread = files.repartition("path")
+    spread = files.repartition(tasks or min(10_000, max(1, files.count())))
     return spread.mapInPandas(_with_digests, "path string, name string, length long, md5 string")
 
 
-def small_file_md5(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """The same on the JVM side, for files below the 2 GB limit of one value."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path).select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length",
-        F.md5("content").alias("md5"))
+
+def text_md5(text: Column) -> Column:
+    """MD5 of the UTF-8 bytes of a text, lower-case hex."""
+    return F.md5(text.cast("binary"))

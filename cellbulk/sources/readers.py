@@ -38,8 +38,15 @@ def scan_fragments(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 def scan_table(spark: SparkSession, path: str, sep: str | None = None,
                schema: T.StructType | None = None, header: bool = True,
                required: Iterable[str] = ()) -> DataFrame:
-    """Delimited text with a header; without a schema every column is text."""
-    reader = spark.read.option("sep", sep or separator_of(path)).option("header", header)
+    """Delimited text with a header; without a schema every column is text.
+
+    With a schema the header line of every file must hold its names: columns are taken
+    by position, so another header is refused.
+    """
+    used = sep or separator_of(path)
+    reader = spark.read.option("sep", used).option("header", header)
+    if header and schema is not None:
+        refuse_other_headers(spark, path, used, schema.names)
     table = (reader.schema(schema) if schema is not None else reader).csv(path)
     table = table.toDF(*[c.lstrip("﻿").strip() for c in table.columns])
     missing = [c for c in required if c not in table.columns]
@@ -48,6 +55,19 @@ def scan_table(spark: SparkSession, path: str, sep: str | None = None,
     return table
 
 
+def refuse_other_headers(spark: SparkSession, path: str, sep: str, names: Sequence[str]) -> None:
+    """Raise unless the first line of every file below ``path`` names these columns."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    want = sep.join(names)
+    clean = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), f' *"?(^|$|{sep})"? *', "$1")
+    bad = first.where(~clean.eqNullSafe(F.lit(want))).first()
+    if bad:
+        raise ValueError(f"{bad.file} has the header {bad.header!r}, expected {want!r}")
+
+
 def scan_qc(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
             index_col: str | None = None, exclude: Sequence[str] = (), sep: str = "\t"
             ) -> DataFrame:
@@ -99,20 +119,35 @@ def scan_gtf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def load_metadata(spark: SparkSession, path: str) -> DataFrame:
-    return scan_table(spark, path, required=schemas.METADATA_REQUIRED)
+    """Cell metadata with ``_sequence``, the place of each row in the files: of rows that
+    repeat a barcode the last one counts."""
+    table = scan_table(spark, path, required=schemas.METADATA_REQUIRED)
+    return table.withColumn("_sequence", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at")))
+
+
+def scan_inputs(spark: SparkSession, where: str, file_format: str = "parquet",
+                listing: bool = False, name_glob: str | None = None) -> DataFrame:
+    """Tables found by a path pattern, or named line by line in a listing file."""
+    return read_all(spark, paths_in(spark, where) if listing else [where], name_glob, file_format)
 
 
 def load_atac_qc(spark: SparkSession, path: str, where: Column | str | None = None,
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, need_tss: str | None = None):
     """Barcode QC of all accessions, stored partitioned by accession.
 
+    ``need_tss`` names the folder of the TSS profiles; the result is then the pair of the
+    QC rows and the profile rows of their barcodes.
+
     Row filters and column choices reach the scan: the accession prunes folders,
     the rest prunes row groups and columns.
     """
     table = spark.read.parquet(path)
     if where is not None:
         table = table.where(where)
-    return table if columns is None else table.select([f"`{c}`" for c in columns])
+    chosen = table if columns is None else table.select([f"`{c}`" for c in columns])
+    return (chosen, tss_rows_of(spark.read.parquet(need_tss), table)) if need_tss else chosen
 
 
 def tss_rows_of(profile: DataFrame, kept: DataFrame) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cellbulk import schemas
 from cellbulk.functions.genomics import accession_of
-from cellbulk.operators.atac import BARCODE, barcode_counters
+from cellbulk.operators.annotation import tss_sites
+from cellbulk.operators.atac import BARCODE, barcode_counters, tss_band_weights
+from cellbulk.session import saved
 
 SUMS = ("num_frags", "raw-num_reads", "raw-mono_nucleosomal_frags",
         "raw-nucleosome_free_frags", "raw-tss_center", "raw-tss_flank")
@@ -32,11 +34,12 @@ def start_counting(stream: DataFrame, chrom_sizes: DataFrame, tss: DataFrame, pa
     """Write the counters of every micro-batch below ``partials``.
 
     A batch that is replayed after a failure overwrites its own folder, so no
-    fragment is counted twice.
+    fragment is counted twice. The TSS bands are made once, before the stream starts.
     """
+    bands = saved(tss_band_weights(tss_sites(tss)), "tss-bands")
 
     def count(batch: DataFrame, batch_id: int) -> None:
-        barcode_counters(batch, chrom_sizes, tss).write.mode("overwrite").parquet(
+        barcode_counters(batch, chrom_sizes, tss, bands=bands).write.mode("overwrite").parquet(
             f"{partials}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
