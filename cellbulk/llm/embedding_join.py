@@ -26,14 +26,15 @@ from pyspark.sql import functions as F
 from cellbulk.llm.components import connected_components, merge
 from cellbulk.session import saved
 
-BLOCKS, GRID_DIMS, TILE = 4, 2, 4096
+BLOCKS, GRID_DIMS, TILE, STEP = 4, 2, 8192, 512
 SLACK = 1e-9
+ROUGH = 1e-5  # more than single precision loses in a block distance of unit vectors
 MIX = np.uint64(0x9E3779B97F4A7C15)  # spreads ids over the slices of a cell
 
 
-def units(vectors: list) -> np.ndarray:
-    """Rows of length one in double precision."""
-    matrix = np.asarray(vectors, dtype=np.float64)
+def units(vectors: list[bytes], kind: str) -> np.ndarray:
+    """Rows of length one in double precision, from vectors of one length as bytes."""
+    matrix = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
     matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)  # no overflow in the squares
     return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
@@ -91,16 +92,16 @@ def _packed(cell: np.ndarray) -> np.ndarray:
     return code
 
 
-def tile_links(left: pd.DataFrame, right: pd.DataFrame | None, block: int, cosine: float,
+def tile_links(left: pd.DataFrame, right: pd.DataFrame | None, kind: str, block: int, cosine: float,
                blocks: int) -> pd.DataFrame:
     """(id, links, root) of rows that are linked; ``right`` is None to join left with itself."""
     rows = left if right is None else pd.concat([left, right])
-    turned = rotated(units(rows["vector"].tolist()))
+    turned = rotated(units(rows["vector"].tolist(), kind))
     ids, copies = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
     budget = 2 - 2 * cosine + SLACK
     count = block_count(turned.shape[1], blocks)
     size, split = turned.shape[1] // count, len(left)
-    own = np.ascontiguousarray(turned[:, block * size:(block + 1) * size])
+    own = np.ascontiguousarray(turned[:, block * size:(block + 1) * size], dtype=np.float32)
     norm = (own * own).sum(axis=1)
     rank = np.argsort(ids, kind="stable")  # labels are positions in id order
     place = np.empty(len(ids), np.int64)
@@ -111,9 +112,10 @@ def tile_links(left: pd.DataFrame, right: pd.DataFrame | None, block: int, cosin
     for start in range(0, split, width):
         stop = min(split, start + width)
         begin = start if right is None else first
-        apart = norm[start:stop, None] + norm[None, begin:last] - 2 * (own[start:stop] @ own[begin:last].T)
-        near = apart <= budget / count + SLACK
-        a, b = np.nonzero(near)
+        # |x - y|^2 <= budget, written as a bound on the product
+        close = own[start:stop] @ own[begin:last].T
+        close -= norm[start:stop, None] / 2
+        a, b = np.nonzero(close >= (norm[None, begin:last] - np.float32(budget / count + ROUGH)) / 2)
         a, b = a + start, b + begin
         if right is None:
             a, b = a[a < b], b[a < b]
@@ -132,57 +134,52 @@ def tile_links(left: pd.DataFrame, right: pd.DataFrame | None, block: int, cosin
 
 
 def cosine_links(items: DataFrame, cosine: float = 0.9, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
-    """(id, links, root) partial results over distinct (id long, copies long, vector).
+    """(id, links, root) partial results over distinct (id long, copies long, dim int, vector
+    binary: little-endian floats or doubles).
 
     Cells are counted first: how many there are is bounded by the grid, which depends on
     the cosine alone. A cell above ``tile`` rows is cut into slices of about that size,
     and every pair of slices is a group of its own.
     """
-    budget = 2 - 2 * cosine + SLACK
+    one = items.first()
+    budget, kind = 2 - 2 * cosine + SLACK, f"<f{len(one.vector) // one.dim if one else 8}"
 
-    def spread(batch: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for dim, rows in batch.groupby(batch["vector"].str.len()):
-            for block, at, cell, home in cells_of(rotated(units(rows["vector"].tolist())), budget, blocks):
-                parts.append(pd.DataFrame({"dim": int(dim), "block": block, "cell": cell, "home": home,
-                                           "row": rows.index.to_numpy()[at]}))
-        return pd.concat(parts) if parts else pd.DataFrame()
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+        """A few rows of one length at a time, and the cells each belongs to or visits."""
+        for batch in batches:
+            for dim, rows in batch.groupby("dim"):
+                for start in range(0, len(rows), STEP):
+                    part = rows.iloc[start:start + STEP].reset_index(drop=True)
+                    spots = cells_of(rotated(units(part["vector"].tolist(), kind)), budget, blocks)
+                    yield part, pd.concat([pd.DataFrame({"dim": int(dim), "block": block, "cell": cell, "home": home, "row": at})
+                                           for block, at, cell, home in spots])
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            spots = spread(batch)
-            if len(spots):
-                yield spots.groupby(["dim", "block", "cell", "home"], as_index=False).agg(n=("row", "size"))
+        for _, spots in spread(batches):
+            yield spots.groupby(["dim", "block", "cell", "home"], as_index=False).agg(n=("row", "size"))
 
     counted = items.mapInPandas(tally, "dim int, block int, cell long, home boolean, n long").groupBy(
         "dim", "block", "cell", "home").agg(F.sum("n").alias("n")).toPandas()
     slices = {(r.dim, r.block, r.cell, r.home): -(-r.n // tile) for r in counted.itertuples()}
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            spots = spread(batch)
-            out = {name: [] for name in ("dim", "block", "cell", "i", "j", "first", "row")}
-
-            def put(key, i, j, first, rows):
-                for name, value in zip(out, (*key, i, j, first)):
-                    out[name].append(np.full(len(rows), value))
-                out["row"].append(rows)
-
-            for key, spot in spots.groupby(["dim", "block", "cell", "home"]) if len(spots) else ():
-                *cell, home = key
+        for part, spots in spread(batches):
+            mixed = part["id"].to_numpy(np.int64).view(np.uint64) * MIX >> np.uint64(33)
+            made = []
+            for (*cell, home), spot in spots.groupby(["dim", "block", "cell", "home"]):
                 own, guests = slices.get((*cell, True), 0), slices.get((*cell, False), 0)
-                mixed = batch["id"].to_numpy(np.int64).view(np.uint64)[spot["row"]] * MIX >> np.uint64(33)
-                salt = (mixed % np.uint64(own if home else guests)).astype(np.int64)
+                rows = spot["row"].to_numpy()
+                salt = (mixed[rows] % np.uint64(own if home else guests)).astype(np.int64)
                 for s in np.unique(salt):
-                    rows = spot["row"].to_numpy()[salt == s]
+                    here = rows[salt == s]
                     if home:
-                        for j in [*range(s, own), *range(own, own + guests)]:
-                            put(cell, s, j, True, rows)
-                    for i in range(s if home else own):
-                        put(cell, i, s if home else own + s, False, rows)
-            if out["row"]:
-                placed = pd.DataFrame({name: np.concatenate(parts) for name, parts in out.items()})
-                rows = batch.iloc[placed.pop("row")].reset_index(drop=True)
+                        made += [(*cell, s, j, True, here) for j in [*range(s, own), *range(own, own + guests)]]
+                    made += [(*cell, i, s if home else own + s, False, here) for i in range(s if home else own)]
+            if made:
+                sizes = [len(m[-1]) for m in made]
+                placed = pd.DataFrame({name: np.repeat([m[k] for m in made], sizes) for k, name in enumerate(
+                    ("dim", "block", "cell", "i", "j", "first"))})
+                rows = part.iloc[np.concatenate([m[-1] for m in made])].reset_index(drop=True)
                 yield pd.concat([placed, rows[["id", "copies", "vector"]]], axis=1)
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
@@ -191,14 +188,26 @@ def cosine_links(items: DataFrame, cosine: float = 0.9, blocks: int = BLOCKS, ti
         right = None if i == j else group[~first]
         if not first.any() or (right is not None and not len(right)):
             return pd.DataFrame({"id": [], "links": [], "root": []}, dtype=np.int64)
-        return tile_links(group[first], right, block, cosine, blocks)
+        return tile_links(group[first], right, kind, block, cosine, blocks)
 
-    kind = items.schema["vector"].dataType.simpleString()
-    dealt = items.select("id", "copies", "vector").mapInPandas(
-        deal, f"dim int, block int, cell long, i int, j int, first boolean, id long, copies long, vector {kind}")
+    dealt = items.select("id", "copies", "dim", "vector").mapInPandas(
+        deal, "dim int, block int, cell long, i int, j int, first boolean, id long, copies long, vector binary")
     return dealt.groupBy("dim", "block", "cell", "i", "j").applyInPandas(search, "id long, links long, root long")
 
 
+def as_bytes(rows: DataFrame) -> DataFrame:
+    """(id, copies, dim, vector) with the array as its bytes, which cost little to copy."""
+    kind = "<f4" if rows.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            vectors = [np.asarray(v, kind) for v in batch["vector"]]
+            yield pd.DataFrame({"id": batch["id"], "copies": batch["copies"], "dim": [len(v) for v in vectors],
+                                "vector": [v.tobytes() for v in vectors]})
+
+    return rows.select("id", "copies", "vector").mapInPandas(run, "id long, copies long, dim int, vector binary")
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, key: str = "vec_id",
                     vector: str = "embedding") -> DataFrame:
     """(key, n_links, component_id, kept) per row of ``vectors``."""
@@ -209,7 +218,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, key: str = "vec_id"
     rows = vectors.select(F.col(key).cast("long").alias("key"), F.when(fine & F.col(key).isNotNull(), F.col(vector)).alias("vector"))
     items = saved(rows.where("vector is not null").groupBy("vector").agg(
         F.min("key").alias("id"), F.count("*").alias("copies")), "vectors")
-    found = saved(cosine_links(items, cosine), "vector-links")
+    found = saved(cosine_links(saved(as_bytes(items), "vector-bytes"), cosine), "vector-links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("root").alias("a"), F.col("id").alias("b")))
     placed = items.join(counts, "id", "left").join(parts, "id", "left").select(
