@@ -20,6 +20,7 @@ HEADLINE = (
     "control_lambda", "poisson_score", "call_regions", "fisher_combine",
     "reproducible_peaks", "fragments_in_peaks", "frip_per_cell", "combined_cell_qc",
     "pseudobulk_summary", "box_stats", "sort_fragments", "split_fragments",
+    "called_peaks", "summits", "overlay_tracks", "outliers", "stream_barcode_qc",
 )
 
 

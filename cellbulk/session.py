@@ -66,10 +66,15 @@ def discard(frame: DataFrame) -> None:
     works on any store.
     """
     spark = frame.sparkSession
-    folder = frame.inputFiles()[:1]
-    if folder:
-        path = folder[0].rsplit("/", 1)[0]
-        if not path.split("://")[-1].split(":")[-1].lstrip("/").startswith(
-                shared_dir(spark).split("://")[-1].split(":")[-1].lstrip("/")):
-            raise ValueError(f"{path} is not below the shared folder")
-        spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(path)
+    held = frame.inputFiles()
+    if not held:
+        return
+    path = held[0].rsplit("/", 1)[0]
+    if not _plain(path).startswith(_plain(shared_dir(spark)) + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    spark.createDataFrame([], frame.schema).write.mode("overwrite").parquet(path)
+
+
+def _plain(path: str) -> str:
+    """A local path without its scheme, however many slashes follow that."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
