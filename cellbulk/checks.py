@@ -57,3 +57,14 @@ def act_on(violations: DataFrame, actions: Sequence[str], table_path: str | None
     if "exception" in actions:
         raise RuntimeError(f"checks failed, for example: {text}")
     return False
+
+
+def complete(rows: DataFrame, columns: Sequence[str], what: str) -> DataFrame:
+    """``rows``, after one count of those with NULL in a column that places them."""
+    missing = F.lit(False)
+    for name in columns:
+        missing = missing | F.col(name).isNull()
+    lost = rows.where(missing).count()
+    if lost:
+        raise ValueError(f"{lost} rows of {what} have no {' or '.join(columns)}")
+    return rows

@@ -20,7 +20,8 @@ def spread_by_tile(rows: DataFrame, keys: Sequence[str], tile: str) -> DataFrame
 
     The join of the branches would infer IS NOT NULL on one of them only and push
     it below the exchange, which could then not be reused. Stated here, the test
-    is the same for both.
+    is the same for both. Rows without key or coordinate have no tile; plans refuse
+    them at the scan (``checks.complete``), so none is lost here.
     """
     present = F.lit(True)
     for name in (*keys, tile):

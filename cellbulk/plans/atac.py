@@ -30,6 +30,7 @@ def split_fragments(
     assignments_of(metadata, "_sequence" if "_sequence" in metadata.columns else None).write.mode("overwrite").parquet(paths["assignments"])
     assigned = spark.read.parquet(paths["assignments"])
 
+    fragments = checks.complete(fragments, ["contig", "frag_start", "frag_end"], "the fragments")
     sites = annotation.tss_sites(tss)
     bands = saved(atac.tss_band_weights(sites, half_window, half_smooth), "tss-bands")
     counters = atac.barcode_counters(fragments, chrom_sizes, tss, half_window, half_smooth, bands=bands)

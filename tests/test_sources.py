@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cellbulk import schemas
+from cellbulk import checks, schemas
 from cellbulk.operators import inventory, ranking, report
 from cellbulk.session import discard, new_folder, saved, shared_dir
 from cellbulk.sources import checksums, readers
@@ -88,3 +88,10 @@ def test_last_metadata_row_of_a_barcode_counts(spark):
 
     got = assignments_of(readers.load_metadata(spark, path), "_sequence").collect()
     assert [r.cell_name for r in got] == ["third"]
+
+
+def test_rows_without_a_place_are_refused(spark):
+    frame = spark.createDataFrame([("c", 1), (None, 2)], "contig string, pos long")
+    with pytest.raises(ValueError, match="1 rows of the tags"):
+        checks.complete(frame, ["contig", "pos"], "the tags")
+    assert checks.complete(frame, ["pos"], "the tags") is frame
