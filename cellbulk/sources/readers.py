@@ -118,10 +118,12 @@ def scan_gtf(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
-def load_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Cell metadata with ``_sequence``, the place of each row in the files: of rows that
-    repeat a barcode the last one counts."""
+def load_metadata(spark: SparkSession, path: str, sequence: bool = False) -> DataFrame:
+    """Cell metadata; ``sequence`` adds ``_sequence``, the place of each row in the files,
+    by which the plans let the last of the rows that repeat a barcode count."""
     table = scan_table(spark, path, required=schemas.METADATA_REQUIRED)
+    if not sequence:
+        return table
     return table.withColumn("_sequence", F.struct(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at")))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from cellbulk import catalog
 from cellbulk.catalog import QUERIES
 from cellbulk.oracles import oracle_statements
 from tests.oracle_check import compare, connect
@@ -15,6 +16,21 @@ def db():
     return connect(SF_DIR)
 
 
+SHARED = ("insertion_counts", "segments", "members", "atac_qc", "rna_qc", "expression", "final_peaks", "frip")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shared_study(spark):
+    """All queries start from one study, whose costly frames are computed once."""
+    study = catalog.Study(spark, SF_DIR)
+    for name in SHARED:
+        study.__dict__[name] = getattr(study, name).persist()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog, "Study", lambda spark, sf_dir: study)
+        yield
+    spark.catalog.clearCache()
+
+
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
 def test_matches_oracle(spark, db, name):
     assert compare(spark, db, name, SF_DIR, STATEMENTS[name]) == ""

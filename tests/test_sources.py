@@ -86,7 +86,7 @@ def test_last_metadata_row_of_a_barcode_counts(spark):
     spark.createDataFrame(rows, list(schemas.METADATA_REQUIRED)).coalesce(1).write.csv(path, sep="\t", header=True)
     from cellbulk.plans.atac import assignments_of
 
-    got = assignments_of(readers.load_metadata(spark, path), "_sequence").collect()
+    got = assignments_of(readers.load_metadata(spark, path, sequence=True), "_sequence").collect()
     assert [r.cell_name for r in got] == ["third"]
 
 
