@@ -25,4 +25,26 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLES = {"op8_decontamination": DECONTAMINATION}
+WARC = """
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to, 'GET' AS request_method, 200 AS http_status
+FROM (SELECT page_id, h, first, strlen(h) >= 100 AND first <> page_id AS again
+      FROM (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+            FROM pages))
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id, vec_id AS reach FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.reach = l.a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a) USING (vec_id)
+JOIN (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id) c USING (vec_id)
+"""
+
+ORACLES = {"op3_warc": WARC, "op4_embedding_dedup": EMBEDDINGS, "op8_decontamination": DECONTAMINATION}
