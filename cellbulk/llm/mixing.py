@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cellbulk.session import saved
 
-BLOCK, RESOLUTION, RANGE_ROWS = 64, 1000, 16_384
+BLOCK, RESOLUTION, RANGE_ROWS = 64, 1000, 4096
 SPOT = ["_source", "_range"]
 
 
