@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellbulk.llm.common import text_of
+from cellbulk.llm.common import smallest_by_hash, text_of
 from cellbulk.session import saved
 
 PER_CLASS, DOC_BYTES = 3000, 16_384
@@ -28,10 +28,10 @@ def training_codes(docs: DataFrame, labels: DataFrame, label: str, held_out: Col
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(
         F.max(label).cast("int").alias("_label")).where(~held_out)
-    share = known.agg(F.avg("_label")).first()[0]
-    order = [F.xxhash64(key), F.col(key)]
-    chosen = known.where("_label = 1").orderBy(*order).limit(2 * per_class).unionByName(
-        known.where("_label = 0").orderBy(*order).limit(2 * per_class))
+    counted = known.agg(F.count("*").alias("n"), F.sum("_label").alias("ones")).first()
+    ones, rows_known = counted.ones or 0, counted.n
+    chosen = smallest_by_hash(known.where("_label = 1"), [key], 2 * per_class, ones).unionByName(
+        smallest_by_hash(known.where("_label = 0"), [key], 2 * per_class, rows_known - ones))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     rows = docs.where(F.octet_length(text_of(text)) <= most_bytes).select(
         key, text_of(text).alias("_text"), lang.alias("_lang")).join(saved(chosen, "labelled"), key)
@@ -47,7 +47,7 @@ def training_codes(docs: DataFrame, labels: DataFrame, label: str, held_out: Col
     local = found.where("label = 1").orderBy(*own).limit(per_class).unionByName(
         found.where("label = 0").orderBy(*own).limit(per_class)).toPandas()
     codes = [np.frombuffer(c, "<i4") for c in local["codes"]]
-    return codes, local["label"].to_numpy(np.float64), local["lang"].tolist(), float(share or 0.0)
+    return codes, local["label"].to_numpy(np.float64), local["lang"].tolist(), ones / max(1, rows_known)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellbulk.llm.common import lower_ascii
+from cellbulk.llm.common import lower_ascii, smallest_by_hash
 
 
 class Rule(NamedTuple):
@@ -83,9 +83,13 @@ def labelled_urls(judged: DataFrame, most: int = 4000) -> DataFrame:
     the smallest by hash. This bounds the training table, not what is judged."""
     known = judged.where("rule is not null").select(
         "host", "path", F.col("block").cast("double").alias("label"))
+    counts = {r.label: r.n for r in known.groupBy("label").agg(
+        F.approx_count_distinct(F.struct("host", "path")).alias("n")).collect()}
+
     def some(label: float) -> DataFrame:
-        return (known.where(F.col("label") == label).distinct()
-                .orderBy(F.xxhash64("host", "path"), "host", "path").limit(most))
+        own = known.where(F.col("label") == label).distinct()
+        return smallest_by_hash(own, ["host", "path"], most, counts.get(label, 0))
+
     return some(0.0).unionByName(some(1.0))
 
 

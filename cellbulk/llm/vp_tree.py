@@ -13,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from cellbulk.llm.common import smallest_by_hash
 from cellbulk.llm.components import merge
 
 LEAF_ROWS, SAMPLE, PER_LEAF = 1024, 32_768, 32
@@ -85,7 +85,7 @@ def hamming_links(items: DataFrame, reach: int = 2, leaf_rows: int = LEAF_ROWS,
     count = items.count()
     depth = max(0, math.ceil(math.log2(max(1, count / leaf_rows))))
     depth = min(depth, int(math.log2(max(1, sample // PER_LEAF))))
-    chosen = items.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample if depth else 0).toPandas()
+    chosen = smallest_by_hash(items.select("fp"), ["fp"], sample if depth else 0, count).toPandas()
     vantage, radius = grow(chosen["fp"].to_numpy(np.int64).view(np.uint64), depth)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
