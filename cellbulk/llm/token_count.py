@@ -19,6 +19,7 @@ null ids are counted like any other row; extra columns are ignored.
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,10 +28,11 @@ from pyspark.sql import functions as F
 
 from cellbulk.llm.common import by_bytes, text_of
 
-CHUNK, OVERLAP, MEMORY = 32_768, 256, 300_000
+CHUNK, OVERLAP, MEMORY = 32_768, 256, 400_000
 STEP = re.compile(r"(?<=\S)(?=[ \n\t])")
 
 
+@lru_cache(maxsize=4)
 def loaded(path: str):
     """The tokenizer at ``path``, one per Python worker, without own threads."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,22 +44,47 @@ def loaded(path: str):
     return tokenizer
 
 
-class PieceCounter:
-    """Token counts of short texts; remembers at most ``memory`` pieces."""
+class PieceMemory:
+    """What a tokenizer makes of pieces of text, remembered in two generations.
+
+    A piece that is met again moves to the young generation; when that is full it becomes
+    the old one and the former old one goes, so frequent pieces stay. Each holds at most
+    ``memory`` pieces, or those of one call if they are more.
+    """
 
     def __init__(self, tokenizer, memory: int = MEMORY):
-        self.tokenizer, self.memory, self.known = tokenizer, memory, {}
+        self.tokenizer, self.memory, self.young, self.old = tokenizer, memory, {}, {}
+
+    def value(self, encoded):
+        raise NotImplementedError
+
+    def known(self, cut: list[list[str]]) -> dict:
+        """A value for every piece in ``cut``."""
+        need = set().union(*cut)
+        missing = need.difference(self.young)
+        if missing and len(self.young) + len(missing) > self.memory:
+            self.old, self.young, missing = self.young, {}, need
+        seen = [p for p in missing if p in self.old]
+        self.young.update(zip(seen, map(self.old.__getitem__, seen)))
+        self.young.update(self.fresh(missing.difference(seen)))
+        return self.young
+
+    def fresh(self, new: set[str]) -> dict:
+        found = {}
+        for run in by_bytes(new):
+            encoded = self.tokenizer.encode_batch_fast(run, add_special_tokens=False)
+            found.update(zip(run, map(self.value, encoded)))
+        return found
+
+
+class PieceCounter(PieceMemory):
+    """Token counts of short texts."""
+
+    value = staticmethod(len)
 
     def counts(self, texts: list[str]) -> list[int]:
         cut = [pieces(text) for text in texts]
-        known = self.known
-        new = list({p for own in cut for p in own if p not in known})
-        if len(known) + len(new) > self.memory:
-            known.clear()
-            new = list({p for own in cut for p in own})
-        for run in by_bytes(new):
-            encoded = self.tokenizer.encode_batch_fast(run, add_special_tokens=False)
-            known.update(zip(run, map(len, encoded)))
+        known = self.known(cut)
         return [sum(map(known.__getitem__, own)) for own in cut]
 
 
@@ -120,10 +147,14 @@ def _begins(encoded, at: int) -> bool:
     return here is not None and before is not None and here != before
 
 
-def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP,
-            memory: int = MEMORY) -> Callable[[list[str]], np.ndarray]:
-    tokenizer = loaded(path)
-    short = PieceCounter(tokenizer, memory)
+@lru_cache(maxsize=2)
+def piece_counter(path: str) -> PieceCounter:
+    """One per Python worker, which runs many tasks."""
+    return PieceCounter(loaded(path))
+
+
+def counter(path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Callable[[list[str]], np.ndarray]:
+    tokenizer, short = loaded(path), piece_counter(path)
 
     def count(texts: list[str]) -> np.ndarray:
         found = np.zeros(len(texts), np.int64)

@@ -18,51 +18,123 @@ such and sorts first; repeated ids follow each other. Extra columns are ignored.
 """
 
 import hashlib
+import json
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellbulk.llm.common import by_bytes, text_of
-from cellbulk.llm.token_count import MEMORY, loaded, pieces
+from cellbulk.llm.token_count import MEMORY, PieceMemory, loaded, pieces
 
 HEADER = "<II4sBBxxqQII"
 HEADER_BYTES = struct.calcsize(HEADER)
 MAGIC, KIND = 0x184D2A51, b"TOK1"
 SEPARATOR = struct.pack("<II", 0x184D2A50, 0).decode("ascii")
+RUN = 1 << 22  # characters encoded at a time
 DICTIONARY_BYTES, DICTIONARY_DOCS, DICTIONARY_DOC_BYTES = 65_536, 1_000, 32_768
 
 
-class PieceEncoder:
-    """Serialised ids of texts; remembers the ids of at most ``memory`` pieces.
+class WordEncoder(PieceMemory):
+    """Serialised ids of pieces."""
+
+    def __init__(self, tokenizer, memory: int = MEMORY):
+        super().__init__(tokenizer, memory)
+        self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+
+    def value(self, encoded) -> bytes:
+        return np.array(encoded.ids, self.kind).tobytes()
+
+
+class PieceEncoder(WordEncoder):
+    """Serialised ids of texts, joined from those of their pieces.
 
     Pieces begin at spaces that follow a non-space character. Both kinds of vocabulary
     here split there whatever stands around, so ids of pieces join to ids of the text.
+    A new piece of plain letters is cut further into the words that a vocabulary with
+    word ends splits it into, so that few words ever reach the tokenizer.
     """
 
     def __init__(self, tokenizer, memory: int = MEMORY):
-        self.tokenizer, self.memory, self.known = tokenizer, memory, {}
-        self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        super().__init__(tokenizer, memory)
+        bare = without_splitting(tokenizer)
+        self.words = WordEncoder(bare, memory // 2) if bare else None
+
+    def fresh(self, new: set[str]) -> dict:
+        if self.words is None:
+            return super().fresh(new)
+        plain = [p for p in new if PLAIN.fullmatch(p) and "<|" not in p]
+        cut = [WORD.findall(p.lower()) for p in plain]
+        known = self.words.known(cut)
+        found = {p: b"".join(map(known.__getitem__, own)) for p, own in zip(plain, cut)}
+        return found | super().fresh(new.difference(plain))
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
+        if self.words is not None:
+            for run in by_bytes(texts, RUN):
+                yield from self.gathered(run)
+            return
         for run in by_bytes(texts):
             cut = [pieces(text) for text in run]
-            known = self.known
-            new = list({p for own in cut for p in own if p not in known})
-            if len(known) + len(new) > self.memory:
-                known.clear()
-                new = list({p for own in cut for p in own})
-            for part in by_bytes(new):
-                encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                known.update((p, np.array(e.ids, self.kind).tobytes()) for p, e in zip(part, encoded))
+            known = self.known(cut)
             for own in cut:
                 yield b"".join(map(known.__getitem__, own))
 
+    def gathered(self, run: list[str]) -> Iterator[bytes]:
+        """Ids of a run of texts, for a vocabulary with word ends: it drops white space, so
+        any space or line break parts the text. Arrow splits the run and numbers its
+        distinct parts; only those are looked up, and their ids are gathered by number."""
+        parts = pc.split_pattern(pa.array([t.replace("\n", " ") for t in run], pa.large_string()), " ")
+        numbered = parts.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        known = self.known([distinct])
+        values = list(map(known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
+        begin, number = np.cumsum(sizes) - sizes, numbered.indices.to_numpy()
+        held = sizes[number]
+        upto = np.cumsum(held)
+        spots = np.repeat((begin[number] - (upto - held)).astype(np.int32), held)
+        spots += np.arange(len(spots), dtype=np.int32)
+        ids = np.frombuffer(b"".join(values), self.kind)[spots]
+        stops = np.concatenate([[0], upto])[parts.offsets.to_numpy()]
+        for start, stop in zip(stops[:-1].tolist(), stops[1:].tolist()):
+            yield ids[start:stop].tobytes()
+
+
+# How the vocabulary with word ends cleans and splits text. For ASCII and
+# Latin-1 letters PLAIN and WORD say the same: such text is its own NFC form and each
+# letter has one lower-case letter.
+CLEANING = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile(r"[\n\t -~À-ÖØ-öø-ÿ]*")
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
+def without_splitting(tokenizer):
+    """The same model for words already cleaned and split; None if it works otherwise."""
+    from tokenizers import Tokenizer
+
+    made = json.loads(tokenizer.to_str())
+    steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    if made["normalizer"] != CLEANING or steps[0].get("pattern") != {"Regex": SPLITTING} or len(steps) != 2:
+        return None
+    return Tokenizer.from_str(json.dumps(made | {"normalizer": None, "pre_tokenizer": steps[1]}))
+
+
+@lru_cache(maxsize=2)
+def piece_encoder(path: str) -> PieceEncoder:
+    """One per Python worker, which runs many tasks."""
+    return PieceEncoder(loaded(path))
+
 
 def hash_of(dictionary: bytes) -> int:
     """The first eight bytes of its SHA-256; zero stands for no dictionary."""
@@ -77,7 +149,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, key: str, text: str)
     import zstandard
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = PieceEncoder(loaded(tokenizer_path))
+        encoder = piece_encoder(tokenizer_path)
         for batch in batches:
             yield pd.DataFrame({"ids": list(encoder.encode(batch["text"].tolist()))})
 
@@ -109,7 +181,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     ).coalesce(1).write.parquet(f"{path}/dictionary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = PieceEncoder(loaded(tokenizer_path))
+        encoder = piece_encoder(tokenizer_path)
         given = _opened(dictionary)
         packer = zstandard.ZstdCompressor(level=level, **({"dict_data": given} if given else {}))
         width, end = encoder.kind.itemsize, np.array([end_id], encoder.kind).tobytes()

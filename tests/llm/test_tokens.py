@@ -40,7 +40,7 @@ def test_overlaps_are_widened_until_they_align(text):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from("ab1'sé日 \n\t\u00a0\x1c.<|>"), max_size=400))
+@given(st.text(alphabet=st.sampled_from("ab1'sTéÉß²ªİΣ\u0301日 \n\t\u00a0\x1c._<|>"), max_size=400))
 def test_any_text(text):
     assert token_count.count_huge(TOKENIZERS[BYTES], text, 40, 4) == len(ids(BYTES, text))
     assert token_count.PieceCounter(TOKENIZERS[BYTES]).counts([text]) == [len(ids(BYTES, text))]
@@ -49,11 +49,17 @@ def test_any_text(text):
         assert np.frombuffer(next(encoder.encode([text])), encoder.kind).tolist() == ids(path, text)
 
 
+def test_words_are_split_as_the_vocabulary_does():
+    assert token_files.without_splitting(TOKENIZERS[WORDS]) and not token_files.without_splitting(TOKENIZERS[BYTES])
+    text = "Don't ÉCOLE_9 ''s <|startoftext|> x<|endoftext|>'LL Straße... a1b22 'S\tœuvre E\u0301"
+    assert np.frombuffer(next(token_files.PieceEncoder(TOKENIZERS[WORDS]).encode([text])), "<u2").tolist() == ids(WORDS, text)
+
+
 def test_memory_of_pieces_is_bounded():
     counter = token_count.PieceCounter(TOKENIZERS[BYTES], memory=5)
     texts = ["one two three four", "five six seven eight", "one two nine"]
     assert [counter.counts([t])[0] for t in texts] == [len(ids(BYTES, t)) for t in texts]
-    assert len(counter.known) <= 5
+    assert len(counter.young) <= 5 and len(counter.old) <= 5
 
 
 def written(spark, docs):
