@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellbulk.session import saved
+
 CRLF = "\r\n"
 MIN_REVISIT_BYTES = 100
 RECORD = pa.schema([
@@ -204,6 +206,12 @@ def assemble(records: DataFrame) -> DataFrame:
                  "payload", "file").alias("response"))
     captures = responses.join(of("request", "target_uri", "method"), "record_id", "left").join(
         metadata, "record_id", "left")
-    pages = metadata.select(F.col("record_id").alias("refers_to_record"),
-                            F.col("metadata.page_id").alias("refers_to"))
-    return captures.join(pages, "refers_to_record", "left").drop("refers_to_record")
+    # One payload may be repeated by a third of all pages: the few records that are
+    # referred to are resolved first, and revisits meet them on a join that can be split.
+    revisits = records.where(F.col("refers_to_record").isNotNull()).select("record_id", "refers_to_record")
+    referred = revisits.select(F.col("refers_to_record").alias("record_id")).distinct()
+    targets = saved(referred.join(metadata, "record_id").select(
+        F.col("record_id").alias("refers_to_record"), F.col("metadata.page_id").alias("refers_to")), "warc-targets")
+    resolved = revisits.join(targets, "refers_to_record").groupBy("record_id").agg(
+        F.min("refers_to").alias("refers_to"))
+    return captures.drop("refers_to_record").join(resolved, "record_id", "left")
