@@ -1,33 +1,43 @@
 """Mixing sources to target weights: a Pfair schedule of source blocks.
 
-A source's documents are put in pseudo-random order and cut into blocks. Weights are
-whole parts, and a cycle hands every source as many slots as it has parts. Within a
-cycle of L slots the j-th of a source's a blocks is released at floor(j L / a) and due
-at ceil((j + 1) L / a); in every slot the released block with the earliest deadline
-runs. So after any number of slots a source's blocks differ from its exact share by less
-than one. When a source runs out, its last cycle counts the blocks it has left, and the
-following cycles share the slots among the others by their parts. No row is dropped.
-
-Cycles that have the same amounts have the same schedule, so only the distinct ones are
-worked out: at most two per source and one. Each is one row and one expression over at
-most the number of parts in a cycle, which ``resolution`` bounds. Documents are ranked
-in hash ranges of their source, so a source with a third of all rows is split like the
-rest. Everything is DataFrame code in the JVM.
+A source's documents are put in pseudo-random order and cut into blocks. In the ideal mix
+every source that has blocks left runs at the rate of its weight among those that have;
+the j-th block of a source is released in the slot in which the ideal mix begins it and
+due at the end of the slot in which the ideal mix ends it. In every slot the released
+block with the earliest deadline runs. The ideal mix fills every slot, so all deadlines
+are met and after any number of slots, over the whole order, a source's blocks differ
+from its ideal share by less than one. Weights are not rounded: all times are ratios of
+integers. When a source runs out, the others share its slots by their weights. Sources
+of weight 0 follow after all others, in equal shares. No row is dropped.
+
+With ``resolution`` the weights are first rounded to that many whole parts, at least one
+each, and every cycle hands out whole parts.
+
+The driver holds one row per source and works out the slots one after the other, which
+is one step of a heap per block of ``BLOCK`` documents; what it has worked out is written
+every ``CHUNK`` slots. Documents are ranked in hash ranges of their source, so a source
+with a third of all rows is split like the rest. What touches documents is DataFrame code
+in the JVM.
 
 Defined results: a null source counts as the source with the empty name; null ids and
 repeated rows are rows like any other, each with a place of its own; an empty table
 gives an empty schedule. Extra columns are carried along.
 """
 
+import heapq
 import math
-from collections.abc import Mapping
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellbulk.session import saved
+from cellbulk.session import new_folder, saved
 
-BLOCK, RESOLUTION, RANGE_ROWS = 64, 1000, 4096
+BLOCK, RANGE_ROWS, CHUNK = 64, 4096, 500_000
 SPOT = ["_source", "_range"]
 
 
@@ -51,52 +61,100 @@ def source_parts(counts: DataFrame, weights: Mapping[str, float] | None, exponen
         "source", "n", F.greatest(F.lit(1), F.round(F.col("weight") / F.col("_sum") * resolution)).cast("int").alias("parts"))
 
 
-def edf_order(amounts: Column) -> Column:
-    """The slots of one cycle as (source position, number of its block), earliest deadline first."""
-    length = F.aggregate(amounts, F.lit(0), lambda s, a: s + a)
-    start = F.struct(F.transform(amounts, lambda a: F.lit(0)).alias("done"),
-                     F.array().cast("array<struct<at:int,j:int>>").alias("order"))
-
-    def slot(state: Column, t: Column) -> Column:
-        waiting = F.transform(amounts, lambda a, i: F.when(
-            (state["done"][i] < a) & (F.floor(state["done"][i] * length / a) <= t),
-            F.struct(F.ceil((state["done"][i] + 1) * length / a).alias("due"), i.alias("at"))))
-        first = F.array_min(waiting)["at"]
-        return F.struct(
-            F.transform(state["done"], lambda d, i: d + F.when(i == first, 1).otherwise(0)).alias("done"),
-            F.concat(state["order"], F.array(F.struct(first.alias("at"), F.get(state["done"], first).alias("j")))).alias("order"))
-
-    return F.aggregate(F.sequence(F.lit(0), length - 1), start, slot, lambda state: state["order"])
-
-
-def schedule(parts: DataFrame, block: int) -> DataFrame:
-    """(source, j, low, high, first, length, slot): in cycles low .. high - 1 the j-th block
-    of the source runs ``slot`` slots into the cycle; cycle ``low`` begins at slot ``first``."""
-    blocks = F.ceil(F.col("n") / block).cast("long")
-    counted = parts.select("source", "parts", F.floor(blocks / F.col("parts")).alias("whole"),
-                           (blocks % F.col("parts")).cast("int").alias("rest"))
-    listed = counted.agg(F.array_sort(F.collect_list(F.struct("source", "parts", "whole", "rest"))).alias("all"))
-    points = F.array_sort(F.array_distinct(F.flatten(F.transform(
-        "all", lambda s: F.array(F.lit(0).cast("long"), s["whole"], s["whole"] + 1)))))
-    spans = listed.withColumn("points", points).select("all", "points", F.posexplode("points").alias("k", "low"))
-    amounts = F.transform("all", lambda s: F.when(F.col("low") < s["whole"], s["parts"]).when(
-        F.col("low") == s["whole"], s["rest"]).otherwise(F.lit(0)))
-    spans = spans.withColumns({"high": F.get("points", F.col("k") + 1), "amounts": amounts}).withColumn(
-        "length", F.aggregate("amounts", F.lit(0), lambda s, a: s + a)).where("length > 0")
-    # at most two spans per source and one
-    before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
-    placed = spans.withColumn("first", F.coalesce(F.sum(
-        (F.col("high") - F.col("low")) * F.col("length")).over(before), F.lit(0)))
-    # spread over tasks again, as one row holds one cycle to work out
-    worked = placed.repartition("low").withColumn("order", edf_order(F.col("amounts")))
-    run = worked.select("all", "low", "high", "first", "length", F.posexplode("order").alias("slot", "turn"))
-    return run.select(F.get("all", F.col("turn.at"))["source"].alias("source"), F.col("turn.j").alias("j"),
-                      "low", "high", "first", "length", "slot")
+def ideal_windows(weights: list[Fraction], blocks: list[int]) -> list[Iterator[tuple[int, int]]]:
+    """(release, due) of every block of each source, in a mix by weights above 0.
+
+    At the moment v a source has run min(blocks, weight * v) blocks; slots are the sum of
+    these, which is linear between the moments at which sources run out.
+    """
+    scale = math.lcm(*[w.denominator for w in weights])
+    whole = [int(w * scale) for w in weights]
+    ends: list[tuple[int, int]] = []  # the moment as blocks / weight
+    gone, alive = [0], [sum(whole)]
+    for b, w in sorted(zip(blocks, whole), key=lambda s: Fraction(*s)):
+        if ends and ends[-1][0] * w == b * ends[-1][1]:
+            gone[-1], alive[-1] = gone[-1] + b, alive[-1] - w
+        else:
+            ends.append((b, w))
+            gone.append(gone[-1] + b)
+            alive.append(alive[-1] - w)
+
+    def windows(w: int, b: int) -> Iterator[tuple[int, int]]:
+        at = release = 0
+        for j in range(1, b + 1):
+            if ends[at][0] * w < j * ends[at][1]:
+                at = bisect_left(ends, j, lo=at + 1, key=lambda e: e[0] * w // e[1])
+            moment = alive[at] * j
+            yield release, gone[at] - (-moment // w)
+            release = gone[at] + moment // w
+
+    return [windows(w, b) for w, b in zip(whole, blocks)]
+
+
+def cycle_windows(parts: list[int], blocks: list[int]) -> list[Iterator[tuple[int, int]]]:
+    """(release, due) of every block, in cycles of whole parts or what a source has left."""
+    first = [0]
+    for c in range(max(-(-b // p) for p, b in zip(parts, blocks))):
+        first.append(first[-1] + sum(min(p, max(0, b - c * p)) for p, b in zip(parts, blocks)))
+
+    def windows(p: int, b: int) -> Iterator[tuple[int, int]]:
+        for c in range(-(-b // p)):
+            amount, length = min(p, b - c * p), first[c + 1] - first[c]
+            for j in range(amount):
+                yield first[c] + j * length // amount, first[c] - (-(j + 1) * length // amount)
+
+    return [windows(p, b) for p, b in zip(parts, blocks)]
+
+
+def earliest_deadlines(windows: list[Iterator[tuple[int, int]]]) -> Iterator[tuple[int, int]]:
+    """(source position, number of its block) of every slot. Of a source's blocks only the
+    next one is held, as a block is released in the last slot of the one before at the earliest."""
+    coming = [(*next(own), i, 0) for i, own in enumerate(windows)]
+    heapq.heapify(coming)
+    ready: list[tuple[int, int, int]] = []
+    slot = 0
+    while coming or ready:
+        while coming and coming[0][0] <= slot:
+            heapq.heappush(ready, heapq.heappop(coming)[1:])
+        due, i, j = heapq.heappop(ready)
+        if due <= slot:
+            raise AssertionError("a block missed its deadline")
+        yield i, j
+        slot += 1
+        if follows := next(windows[i], None):
+            heapq.heappush(coming, (*follows, i, j + 1))
+
+
+def source_weights(sizes: Mapping[str, int], weights: Mapping[str, float] | None, exponent: float) -> list[Fraction]:
+    """Without ``weights`` a source weighs its row count to the power ``exponent``; one that
+    ``weights`` does not name weighs 0."""
+    found = [weights.get(s, 0) if weights else n ** exponent for s, n in sizes.items()]
+    if not all(0 <= w < math.inf for w in found):
+        raise ValueError("weights are finite and not negative")
+    return [Fraction(w) for w in found]
+
+
+def schedule(spark: SparkSession, names: list[str], groups: list[tuple[Sequence[int], list[Iterator]]]) -> DataFrame:
+    """(source, block, slot) of every block; the groups, as positions of names and their
+    windows, follow one another."""
+    path = new_folder(spark, "schedule")
+    turns = ((own[i], j) for own, windows in groups for i, j in earliest_deadlines(windows))
+    known, done = pa.array(names, pa.string()), 0
+    while True:
+        part = list(islice(turns, CHUNK))
+        at, block = (list(x) for x in zip(*part)) if part else ([], [])
+        table = pa.table({"source": known.take(pa.array(at, pa.int64())), "block": pa.array(block, pa.int64()),
+                          "slot": pa.array(range(done, done + len(part)), pa.int64())})
+        frame = spark.createDataFrame(table)
+        frame.write.mode("append").parquet(path)
+        done += len(part)
+        if len(part) < CHUNK:
+            return spark.read.schema(frame.schema).parquet(path)
 
 
 def with_positions(docs: DataFrame, weights: Mapping[str, float] | None = None, exponent: float = 0.5,
                    key: str = "doc_id", source: str = "source", block: int = BLOCK,
-                   resolution: int = RESOLUTION, seed: int = 11) -> DataFrame:
+                   resolution: int | None = None, seed: int = 11) -> DataFrame:
     """Adds mix_block, mix_slot and mix_position; rows in the order of mix_position are the mix."""
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
     rows = docs.count()
@@ -108,19 +166,21 @@ def with_positions(docs: DataFrame, weights: Mapping[str, float] | None = None,
     ahead = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = sizes.withColumn("offset", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     counts = sizes.groupBy(F.col("_source").alias("source")).agg(F.sum("n").alias("n"))
-    parts = saved(source_parts(counts, weights, exponent, resolution), "parts")
-    plan = saved(schedule(parts, block), "schedule")
-    spans = plan.groupBy("source", "j").agg(F.collect_list(F.struct("low", "high", "first", "length", "slot")).alias("spans"))
-    blocks = ranges.join(parts.select(F.col("source").alias("_source"), "parts"), "_source").select(
-        *SPOT, "parts", "offset", F.explode(F.sequence(
-            F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("n") - 1) / block))).alias("block"))
-    cycle = F.floor(F.col("block") / F.col("parts"))
-    hit = F.filter("spans", lambda s: (s["low"] <= F.col("cycle")) & (s["high"] > F.col("cycle")))[0]
-    turns = blocks.withColumns({"cycle": cycle, "j": (F.col("block") % F.col("parts")).cast("int")}).join(
-        spans.withColumnRenamed("source", "_source"), ["_source", "j"]).withColumn("hit", hit)
-    slot = F.col("hit.first") + (F.col("cycle") - F.col("hit.low")) * F.col("hit.length") + F.col("hit.slot")
-    listed = turns.groupBy(*SPOT, F.col("offset").alias("_offset")).agg(
-        F.array_sort(F.collect_list(F.struct("block", slot.alias("slot")))).alias("_turns"))
+    held = {r.source: r.n for r in counts.orderBy("source").collect()}
+    amounts = [-(-n // block) for n in held.values()]
+    if resolution:
+        parts = {r.source: r.parts for r in source_parts(counts, weights, exponent, resolution).collect()}
+        groups = [(range(len(held)), cycle_windows([parts[s] for s in held], amounts))] if held else []
+    else:
+        share = source_weights(held, weights, exponent)
+        weighed, rest = [i for i, w in enumerate(share) if w], [i for i, w in enumerate(share) if not w]
+        groups = [(own, ideal_windows([w[i] for i in own], [amounts[i] for i in own]))
+                  for own, w in ((weighed, share), (rest, [Fraction(1)] * len(share))) if own]
+    plan = schedule(docs.sparkSession, list(held), groups).withColumnRenamed("source", "_source")
+    blocks = ranges.select(*SPOT, "offset", F.explode(F.sequence(
+        F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("n") - 1) / block))).alias("block"))
+    listed = blocks.join(plan, ["_source", "block"]).groupBy(*SPOT, F.col("offset").alias("_offset")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "slot"))).alias("_turns"))
     order = Window.partitionBy(*SPOT).orderBy("_hash", "_tie")
     ranked = ranged.withColumn("_tie", row_hash(docs)).withColumn("_row", F.row_number().over(order) - 1)
     placed = ranked.join(listed, SPOT).withColumn("_rank", F.col("_offset") + F.col("_row"))

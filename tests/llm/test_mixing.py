@@ -54,3 +54,33 @@ def test_empty_table(rows):
 def test_too_many_weights(spark, rows):
     with pytest.raises(ValueError):
         mixing.with_positions(rows, weights={str(i): 1 for i in range(20)}, resolution=10)
+
+
+@pytest.mark.parametrize("sizes, weights", [
+    ({"hot": 1200, **{f"s{i}": 120 for i in range(20)}}, None),
+    ({"a": 1600, "b": 600, "c": 3, "d": 40}, {"a": 0.7123, "b": 0.2876, "c": 0.0001, "d": 0}),
+    ({"a": 30, "b": 30, "c": 30, "d": 7}, {"a": 1, "b": 1, "c": 1, "d": 2}),
+])
+def test_running_deviation_from_unrounded_weights(spark, sizes, weights):
+    made = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    slots = sorted((r.mix_slot, r.source) for r in mixing.with_positions(made, weights=weights, block=1).collect())
+    assert [t for t, _ in slots] == list(range(sum(sizes.values())))
+    share = {s: Fraction(weights[s] if weights else n ** 0.5) for s, n in sizes.items()}
+    ideal, done = dict.fromkeys(sizes, Fraction(0)), Counter()
+    for _, source in slots:  # the ideal mix, slot by slot
+        left = Fraction(1)
+        while left:
+            alive = {s: w for s, w in share.items() if w and ideal[s] < sizes[s]} or {
+                s: Fraction(1) for s in sizes if ideal[s] < sizes[s]}
+            total = sum(alive.values())
+            step = min([left, *((sizes[s] - ideal[s]) * total / w for s, w in alive.items())])
+            for s, w in alive.items():
+                ideal[s] += step * w / total
+            left -= step
+        done[source] += 1
+        assert all(abs(done[s] - ideal[s]) < 1 for s in sizes)
+
+
+def test_refused_weights(rows):
+    with pytest.raises(ValueError):
+        mixing.with_positions(rows, weights={"hot": -1.0})
