@@ -3,6 +3,7 @@
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 
 from cellbulk.llm import quality, toxicity, url_filter
@@ -53,6 +54,36 @@ def test_filter_keeps_good_rows_whole(spark):
     assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == judged
 
 
+def test_every_word_is_encoded():
+    encode, rows = toxicity.encoder(), lambda text: {tuple(r) for r in toxicity.encoder()(text).tolist()}
+    for glued in ("<b>idiot</b>", "you/idiot", "and,idiot", "nice-loser idiot", '{"a":"idiot"}', "x=1;idiot=2"):
+        assert rows("Idiot") < rows(glued) and len(rows(glued)) >= 2
+    assert rows("--- !") == rows("---") | rows("!") and rows("a --- b,") == rows("a b ---")
+    assert len(encode("")) == 0 and len(encode("<b>you idiot</b>")) == 4
+    assert rows("\u7b28\u86cb\u5440") < rows("\u4f60\u662f\u7b28\u86cb\u5440\u3002") and len(encode("\u4f60\u662f\u7b28\u86cbab cd")) == 6
+    assert rows("\u0e07\u0e35\u0e48\u0e40\u0e07\u0e48\u0e32") < rows("\u0e04\u0e19\u0e07\u0e35\u0e48\u0e40\u0e07\u0e48\u0e32")
+
+
+def test_long_text_is_scored_in_runs(monkeypatch):
+    texts = ["", "a b c d e f g", "x", " ".join(f"w{i}" for i in range(23)), "one,two;three " * 5]
+    codes = [toxicity.encoder()(t) for t in texts]
+    parts = toxicity.train(codes[1:], np.array([0, 1, 0, 1.0]), epochs=3)
+    whole = toxicity.logits(parts, codes)
+    monkeypatch.setattr(toxicity, "RUN", 4)
+    assert np.allclose(toxicity.logits(parts, codes), whole, atol=1e-5)
+    assert all((a == toxicity.encoder()(t)).all() for a, t in zip(codes, texts))
+
+
+def test_toxic_word_behind_markup(spark):
+    texts = [(i, f"we met {w} near the {p} on day {i}") for i in range(120)
+             for w, p in [("idiot" if i % 2 else "friend", ("river", "house", "bridge")[i % 3])]]
+    odd = [(1000, "<b>idiot</b>"), (1001, "the,idiot,river"), (1002, "<b>friend</b>"), (1003, "the,friend,river")]
+    frame = spark.createDataFrame(texts + odd, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(frame, labels).where("doc_id >= 1000").collect()}
+    assert got[1000] > 0.5 > got[1002] and got[1001] > 0.5 > got[1003]
+
+
 def plain_rule(url):
     if not url or "://" not in url:
         return "", "", None
