@@ -4,7 +4,11 @@ Windows of consecutive item words are looked up from their rarest terms: the cor
 frequency of every test term is counted, the postings (document, term, position) of the
 terms that are rarest in some window are stored, and the lists of a window's two rarest
 terms are intersected after moving each by its offset in the window. Where both agree on
-a start, the document's words decide. Proximity matches relax that agreement to a slop.
+a start, the document's words decide.
+
+A proximity match has a share of a window's distinct terms in the stretch around a start.
+It may lack so many of them; of two more than that, the rarest of the window, two must
+agree on a start up to a slop. Terms that the corpus lacks count among the rarest.
 
 Everything is DataFrame code in the JVM. A document is known by its id and a hash of its
 text; repeated rows share their matches and each keeps its own result row.
@@ -14,14 +18,14 @@ are never found; a null document id is a document like any other, a null item id
 ignored. Extra columns are ignored.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellbulk.llm.common import lower_ascii, text_of
 from cellbulk.session import saved
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WINDOW = 10
+WINDOW, SLOP, SHARE = 10, 5, 0.8
 DOC = ["doc", "tag"]
 
 
@@ -65,7 +69,23 @@ def with_anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return whole.select(
         "wid", "words", "items",
         F.col("ranked")[0]["term"].alias("term1"), F.col("ranked")[0]["off"].alias("off1"),
-        second["term"].alias("term2"), second["off"].alias("off2"))
+        second["term"].alias("term2"), second["off"].alias("off2"),
+        F.array(F.col("ranked")[0], second).alias("anchors"))
+
+
+def proximity_anchors(windows: DataFrame, counts: DataFrame, share: float = SHARE) -> DataFrame:
+    """Adds the anchors of proximity matches, (n, off, term): of the rarest distinct terms two
+    more than a match may lack, at all their offsets; one of a window with a single term."""
+    spread = windows.select("wid", F.posexplode("words").alias("off", "term")).join(counts, "term", "left")
+    ranked = spread.groupBy("wid", "term").agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.array_sort(F.collect_set("off")).alias("offs")).groupBy("wid").agg(
+        F.array_sort(F.collect_list(F.struct("n", "term", "offs"))).alias("ranked"))
+    lacking = F.size("ranked") - F.ceil(F.size("ranked") * F.lit(share) - 1e-9).cast("int")
+    chosen = F.filter(F.slice("ranked", F.lit(1), lacking + 2), lambda r: r["n"] > 0)
+    anchors = F.flatten(F.transform(chosen, lambda r: F.transform(
+        F.when(F.size("ranked") > 1, r["offs"]).otherwise(F.slice(r["offs"], 1, 1)),
+        lambda off: F.struct(r["n"].alias("n"), off.alias("off"), r["term"].alias("term")))))
+    return windows.join(ranked, "wid").select("wid", "words", "items", anchors.alias("anchors"))
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -77,13 +97,6 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return saved(spread.join(saved(marked, "terms"), "term", "left_semi"), "postings")
 
 
-def starts_of(index: DataFrame, anchored: DataFrame, which: int) -> DataFrame:
-    """(doc, tag, wid, start): a list of postings moved by the term's offset."""
-    anchor = anchored.select("wid", F.col(f"term{which}").alias("term"), F.col(f"off{which}").alias("off"))
-    return index.where("term != ''").join(anchor, "term").select(
-        *DOC, "wid", (F.col("pos") - F.col("off")).alias("start")).where("start >= 0")
-
-
 def aligned_starts(index: DataFrame, anchored: DataFrame) -> DataFrame:
     """Starts at which both rarest terms stand where the window has them."""
     anchor = anchored.select("wid", F.col("term1").alias("term"), "off1", "off2", "term2")
@@ -109,27 +122,48 @@ def exact_matches(index: DataFrame, docs: DataFrame, anchored: DataFrame) -> Dat
     return placed.select(*DOC, same.alias("hits")).where(F.size("hits") > 0)
 
 
-def proximity_matches(index: DataFrame, docs: DataFrame, anchored: DataFrame, slop: int = 5,
-                      share: float = 0.8) -> DataFrame:
-    """(doc, tag, hits): windows whose two rarest terms stand within ``slop`` of their
+def proximity_matches(index: DataFrame, docs: DataFrame, anchored: DataFrame, slop: int = SLOP,
+                      share: float = SHARE) -> DataFrame:
+    """(doc, tag, hits): windows two of whose anchors stand within ``slop`` of their
     distance, and of whose terms ``share`` stand in the stretch around."""
-    first = starts_of(index, anchored, 1).withColumn("bin", F.floor(F.col("start") / (slop + 1)))
-    second = starts_of(index, anchored, 2).select(*DOC, "wid", F.col("start").alias("other"), F.explode(
-        F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)),
-                    lambda d: F.floor(F.col("start") / (slop + 1)) + d)).alias("bin"))
-    near = first.join(second, [*DOC, "wid", "bin"]).where(
-        F.abs(F.col("start") - F.col("other")) <= slop).select(*DOC, "wid", "start").distinct()
+    # a term is known by its first place in the window; -1 in a window of a single term
+    anchor = anchored.select("wid", "words", F.explode(F.array_distinct("anchors")).alias("a")).select(
+        "wid", F.when(F.size(F.array_distinct("words")) == 1, -1).otherwise(
+            F.array_position("words", F.col("a.term"))).cast("int").alias("which"),
+        F.col("a.term").alias("term"), F.col("a.off").alias("off"))
+    starts = index.where("term != ''").join(anchor, "term").select(
+        *DOC, "wid", "which", (F.col("pos") - F.col("off")).alias("start"))
+    around = Window.partitionBy(*DOC, "wid").orderBy("start").rangeBetween(-slop, slop)
+    near = starts.withColumns({"least": F.min("which").over(around), "most": F.max("which").over(around)}).where(
+        "which < 0 or least < most").select(*DOC, "wid", "start").distinct()
     placed = per_document(near, docs, anchored)
 
     def close(c: Column) -> Column:
         low = F.greatest(c["start"] + 1 - slop, F.lit(1))
-        around = F.slice("all", low, F.size(c["words"]) + 2 * slop)
+        stop = c["start"] + F.size(c["words"]) + slop
+        around = F.slice("all", low, F.greatest(F.lit(0), stop - low + 1))
         terms = F.array_distinct(c["words"])
-        return F.size(F.array_intersect(terms, around)) >= share * F.size(terms)
+        return F.size(F.array_intersect(terms, around)) >= share * F.size(terms) - 1e-9
 
     return placed.select(*DOC, F.filter("found", close).alias("hits")).where(F.size("hits") > 0)
 
 
+def near_contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
+                       item_key: str = "item_id", item_text: str = "text", size: int = WINDOW,
+                       slop: int = SLOP, share: float = SHARE) -> DataFrame:
+    """(key, n_proximity, tag) per row of ``docs``: distinct items with a proximity match."""
+    texts = keyed(docs, key, text)
+    windows = item_windows(items, item_key, item_text, size)
+    vocabulary = saved(windows.select(F.explode("words").alias("term")).distinct(), "vocabulary")
+    anchored = saved(proximity_anchors(windows, saved(term_counts(texts, vocabulary), "term-counts"), share), "near-anchors")
+    index = postings(texts, anchored.select(F.explode("anchors.term").alias("term")))
+    hits = proximity_matches(index, texts, anchored, slop, share)
+    told = hits.select(*DOC, F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("found"))
+    return index.where("term = ''").join(told, DOC, "left").select(
+        F.when(F.col("doc") != -(1 << 63), F.col("doc")).alias(key),
+        F.coalesce("found", F.lit(0)).cast("long").alias("n_proximity"), "tag")
+
+
 def covered(spans: Column) -> Column:
     """Positions inside any of the (start, stop) spans, which are sorted by start."""
     begin = F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto"))

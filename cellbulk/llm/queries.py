@@ -86,6 +86,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
 
 
+@query
+def op8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items with an edited passage in every document; the columns of
+    op8_decontamination are fixed by its SQL."""
+    return decontamination.near_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tag")
+
+
 @query
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""

@@ -78,6 +78,21 @@ def test_proximity(spark):
     assert {r.doc for r in D.proximity_matches(index, texts, anchored).collect()} == {1, 2}
 
 
+def test_proximity_with_edited_words(spark):
+    own = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    items = spark.createDataFrame([(1, " ".join(own)), (2, "absent beta gamma delta epsilon zeta eta theta iota kappa"),
+                                   (3, "solo"), (4, None), (None, "beta")], "item_id long, text string")
+    swap = lambda *at: " ".join("new" if i in at else w for i, w in enumerate(own))
+    texts = [(1, swap()), (2, swap(0)), (3, swap(0, 9)), (4, swap(0, 4, 9)), (5, "x y " + swap(3, 5) + " z"),
+             (6, " ".join(own[1:])), (7, "nothing"), (None, "solo"), (8, None), (7, "nothing")]
+    # everything but alpha and kappa is frequent, so the edited words are the rarest
+    texts += [(100 + i, "beta gamma delta epsilon") for i in range(5)] + [(200 + i, "zeta eta theta iota") for i in range(5)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = D.near_contamination(docs, items).collect()
+    want = {1: 2, 2: 2, 3: 2, 5: 1, 6: 2, None: 1}
+    assert sorted(str((r.doc_id, r.n_proximity)) for r in got) == sorted(str((i, want.get(i, 0))) for i, _ in texts)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_duckdb(spark, name):
     sf = "/root/testdata/sf0.001"
