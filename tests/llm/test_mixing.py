@@ -81,6 +81,14 @@ def test_running_deviation_from_unrounded_weights(spark, sizes, weights):
         assert all(abs(done[s] - ideal[s]) < 1 for s in sizes)
 
 
+def test_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 700)
+    made = spark.range(6000).selectExpr("id as doc_id", "cast(pmod(id * id, 4001) as string) as source")
+    got = mixing.with_positions(made, block=2).collect()
+    assert len(got) == len({r.mix_position for r in got}) == 6000
+    assert {r.mix_slot for r in got} == set(range(len({(r.source, r.mix_block) for r in got})))
+
+
 def test_refused_weights(rows):
     with pytest.raises(ValueError):
         mixing.with_positions(rows, weights={"hot": -1.0})
