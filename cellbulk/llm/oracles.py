@@ -47,4 +47,26 @@ FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a
 JOIN (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id) c USING (vec_id)
 """
 
-ORACLES = {"op3_warc": WARC, "op4_embedding_dedup": EMBEDDINGS, "op8_decontamination": DECONTAMINATION}
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id AND len(a.e) = len(b.e)),
+p AS (
+  SELECT anchor, other, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT s.anchor AS anchor_id, p.other AS positive_id,
+  CAST(row_number() OVER (PARTITION BY s.anchor, p.other ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+  s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM s JOIN p ON s.anchor = p.anchor
+WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+ORACLES = {"op13_hard_negatives": HARD_NEGATIVES, "op3_warc": WARC, "op4_embedding_dedup": EMBEDDINGS, "op8_decontamination": DECONTAMINATION}

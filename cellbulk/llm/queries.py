@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import decontamination, embedding_join, mixing, quality, simhash, token_count, token_files, toxicity, url_filter, warc
+from cellbulk.llm import decontamination, embedding_join, hard_negatives, mixing, quality, simhash, token_count, token_files, toxicity, url_filter, warc
 from cellbulk.llm.common import table
 from cellbulk.llm.oracles import ORACLES
 from cellbulk.session import new_folder, saved
@@ -116,3 +116,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding, against all embeddings."""
+    by_seven = F.col("vec_id") % 7 == 0
+    return hard_negatives.hard_negatives(
+        table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 50 == 0,
+        label=F.when(by_seven, (F.col("label") + 1) % 10).otherwise(F.col("label")))
