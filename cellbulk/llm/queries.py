@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import decontamination, embedding_join, hard_negatives, mixing, quality, simhash, token_count, token_files, toxicity, url_filter, warc
-from cellbulk.llm.common import table
+from cellbulk.llm import decontamination, embedding_join, hard_negatives, language_mixture, mixing, quality, simhash, token_count, token_files, toxicity, url_filter, warc
+from cellbulk.llm.common import fold_of, table
 from cellbulk.llm.oracles import ORACLES
 from cellbulk.session import new_folder, saved
 
@@ -118,6 +118,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+@query
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, and all languages it is a mixture of."""
+    found = language_mixture.languages(table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 4) == 2)
+    return found.withColumn("languages", F.concat_ws(",", "languages"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth embedding, against all embeddings."""
