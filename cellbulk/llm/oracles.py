@@ -69,4 +69,31 @@ WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.s
 QUALIFY rank <= 3
 """
 
-ORACLES = {"op13_hard_negatives": HARD_NEGATIVES, "op3_warc": WARC, "op4_embedding_dedup": EMBEDDINGS, "op8_decontamination": DECONTAMINATION}
+PHRASES = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({text}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (
+  SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, string_split(phrase, ' ') AS w, k, f AS a FROM f WHERE k > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, i.i, x.f AS l, y.f AS r, t.n,
+    (1000 * c.a::HUGEINT * t.n::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM c JOIN (SELECT unnest(range(1, 5)) AS i) i ON i.i < c.k
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:i.i], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[i.i + 1:c.k], ' ')
+  JOIN t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, i.i) = 1),
+o AS (
+  SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(a) AS outside
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS s FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)
+  GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM cut LEFT JOIN o USING (lang, phrase) WHERE outside IS NULL OR 100 * outside < 100 * a
+QUALIFY rank <= 2000
+""".replace("{text}", ASCII_LOWER.format("text"))
+
+ORACLES = {"op11_phrases": PHRASES, "op13_hard_negatives": HARD_NEGATIVES, "op3_warc": WARC, "op4_embedding_dedup": EMBEDDINGS, "op8_decontamination": DECONTAMINATION}

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellbulk.llm import decontamination, embedding_join, hard_negatives, language_mixture, mixing, quality, simhash, token_count, token_files, toxicity, url_filter, warc
+from cellbulk.llm import decontamination, embedding_join, hard_negatives, language_mixture, mixing, phrases, quality, simhash, token_count, token_files, toxicity, url_filter, warc
 from cellbulk.llm.common import fold_of, table
 from cellbulk.llm.oracles import ORACLES
 from cellbulk.session import new_folder, saved
@@ -118,6 +118,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, and all languages it is a mixture of."""
