@@ -17,7 +17,7 @@ from cellbulk.plans import peaks as peak_plan
 from cellbulk.plans import rna as rna_plan
 from cellbulk.plans import summary as summary_plan
 from cellbulk.session import new_folder, saved
-from cellbulk.sources import checksums, readers, writers
+from cellbulk.sources import block_gzip, checksums, readers, writers
 from cellbulk.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,29 +108,12 @@ def query(fn: Callable[[Study], DataFrame]) -> Callable[[Study], DataFrame]:
 # --- scans and sinks -----------------------------------------------------------
 
 
-def _rename_parts(spark: SparkSession, folder: str, key: str, suffix: str) -> None:
-    """Give the part files of partition folders names that start with the partition value."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if not name.startswith(f"{key}="):
-            continue
-        value = name.split("=", 1)[1]
-        for i, part in enumerate(fs.listStatus(status.getPath())):
-            if part.getPath().getName().startswith("part-"):
-                fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(
-                    f"{folder}/{value}.{i}{suffix}"))
-
-
 def fragment_files(s: Study) -> str:
-    """A folder of gzip fragment text whose file names start with the accession."""
+    """A folder of block gzip fragment text whose file names start with the accession."""
     folder = s.folder("fragments")
-    writers.write_partitioned(s.fragments, folder, ["analysis_set_accession"], "csv",
-                              sep="\t", compression="gzip")
-    _rename_parts(s.spark, folder, "analysis_set_accession", ".bed.gz")
-    return f"{folder}/*.bed.gz"
+    by = "analysis_set_accession"
+    block_gzip.write_fragment_blocks(s.fragments.hint("rebalance", F.col(by)).sortWithinPartitions(by), folder)
+    return f"{folder}/*.tsv.gz"
 
 
 @query
@@ -138,6 +121,12 @@ def scan_fragments(s: Study) -> DataFrame:
     return readers.scan_fragments(s.spark, fragment_files(s))
 
 
+@query
+def scan_fragment_blocks(s: Study) -> DataFrame:
+    """The same files, of which every task inflates a range of blocks."""
+    return block_gzip.scan_fragment_blocks(s.spark, fragment_files(s), split_bytes=1 << 18)
+
+
 @query
 def scan_table(s: Study) -> DataFrame:
     path = s.folder("tss") + ".tsv.gz"

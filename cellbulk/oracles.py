@@ -255,7 +255,7 @@ _GTF_GENE = """SELECT concat('G', CAST(p_partkey AS STRING)) AS gene_id,
  p_partkey % 20 = 0 AS mt, p_partkey % 20 = 1 AS ribo FROM part"""
 
 O = ORACLES
-O["scan_fragments"] = "SELECT * FROM fragments"
+O["scan_fragments"] = O["scan_fragment_blocks"] = "SELECT * FROM fragments"
 O["scan_table"] = "SELECT * FROM tss"
 O["scan_qc"] = ("SELECT * EXCLUDE (analysis_set_accession, pseudobulk_id) FROM "
                 f"(SELECT {_COMBINED_DOUBLE} FROM combined)")

@@ -27,8 +27,7 @@ def _file_name() -> Column:
 def scan_fragments(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Fragment files (tab separated, plain or gzip); the file name gives the accession.
 
-    A gzip file is one task. Write the result to Parquet once, or repartition it,
-    before running many operators over multi-gigabyte inputs.
+    A gzip file is one task here; ``scan_fragment_blocks`` reads block gzip in ranges.
     """
     raw = spark.read.schema(schemas.FRAGMENT).option("sep", "\t").csv(paths)
     return raw.select(accession_of(_file_name()).alias("analysis_set_accession"),
