@@ -4,9 +4,9 @@ Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends, and p
 words at spaces and tabs. Every word starts a suffix of up to ``longest`` words of its
 piece. Phrases are counted by a multikey quicksort of suffixes:
 
-1. Words are counted, then pairs of frequent words. What is frequent goes into a bitmap of
-   ``BITS`` bits, so its size does not grow with the corpus: a bit that two phrases share
-   costs time, never a phrase. A suffix ends before its first infrequent pair, and one
+1. Words are counted, then pairs of frequent words, by their hash. What is frequent goes
+   into a bitmap of ``BITS`` bits, so its size does not grow with the corpus: a hash or bit
+   that two phrases share costs time, never a phrase. A suffix ends before its first infrequent pair, and one
    without a frequent pair is dropped, as no frequent phrase starts there.
 2. Equal suffixes are added up and routed by their leading words: ranges of the order
    (language, words), as even as their number allows, so one leading word may fill many tasks.
@@ -28,13 +28,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellbulk.llm.common import LOWER, UPPER, by_bytes, text_of
 from cellbulk.session import discard, saved
 
 BITS, SEED = 1 << 24, 42
+MIX = np.uint64(0x9E3779B97F4A7C15)
 PIECE, HELD = 1 << 20, 400_000
 RANGE_ROWS = 400_000
 BREAK = b"."
@@ -57,12 +58,12 @@ def token_runs(texts: list[str], longest: int, piece: int) -> Iterator[tuple[lis
 
 
 class FrequentBits:
-    """Hashed membership of frequent phrases; never misses one."""
+    """Membership of hashed frequent phrases; never misses one."""
 
-    def __init__(self, phrases: DataFrame):
-        """``phrases``: (lang, phrase)."""
-        spot = F.xxhash64(F.concat_ws("\0", "lang", "phrase")).bitwiseAND(BITS - 1) + 1
-        found = phrases.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
+    def __init__(self, hashes: DataFrame):
+        """``hashes``: one column of longs."""
+        spot = F.col(hashes.columns[0]).bitwiseAND(BITS - 1) + 1
+        found = hashes.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect()
         self.last = np.uint64(BITS - 1)
         self.bits = np.zeros(BITS // 8, np.uint8)
@@ -70,14 +71,15 @@ class FrequentBits:
             at = (row.bucket - 1) * len(row.bits)
             self.bits[at:at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
 
-    def have(self, lang: str, phrases: list[bytes]) -> np.ndarray:
-        from xxhash import xxh64_intdigest
-
-        before = lang.encode() + b"\0"
-        spots = np.fromiter((xxh64_intdigest(before + p, SEED) for p in phrases), np.uint64, len(phrases)) & self.last
+    def have(self, hashes: np.ndarray) -> np.ndarray:
+        spots = hashes & self.last
         return (self.bits[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def word_hash(lang: Column, word: Column) -> Column:
+    return F.xxhash64(F.concat_ws("\0", lang, word))
+
+
 def tallied(docs: DataFrame, longest: int, named: Callable[[str, list[bytes], int], list[bytes]]) -> DataFrame:
     """(lang, phrase, n): what is ``named`` in runs of tokens, added up per task while memory allows, then by Spark."""
 
@@ -111,31 +113,38 @@ def _words(lang: str, tokens: list[bytes], own: int) -> list[bytes]:
     return words + [b""] * len(words)
 
 
-class _Links:
-    """Which neighbouring tokens may belong to a frequent phrase."""
+class Links:
+    """Neighbouring tokens that may belong to a frequent phrase."""
 
     def __init__(self, words: FrequentBits, pairs: FrequentBits | None = None):
-        self.words, self.pairs, self.known, self.most = words, pairs, {}, HELD
-
-    def positions(self, lang: str, tokens: list[bytes]) -> np.ndarray:
-        """Places whose word and the next one are frequent words of one piece."""
-        known = self.known.setdefault(lang, {BREAK: False})
-        fresh = [t for t in dict.fromkeys(tokens) if t not in known]
-        known.update(zip(fresh, self.words.have(lang, fresh).tolist()))
-        fine = np.fromiter(map(known.__getitem__, tokens), bool, len(tokens))
+        self.words, self.pairs, self.most = words, pairs, HELD
+        self.known: dict[str, dict[bytes, int]] = {}
+
+    def hashes(self, lang: str, tokens: list[bytes]) -> np.ndarray:
+        """The hash of each frequent word; zero for others and for breaks."""
+        from xxhash import xxh64_intdigest
+
+        known = self.known.setdefault(lang, {BREAK: 0})
+        fresh = [t for t in set(tokens) if t not in known]
+        before = lang.encode() + b"\0"
+        made = np.fromiter((xxh64_intdigest(before + t, SEED) for t in fresh), np.uint64, len(fresh))
+        known.update(zip(fresh, np.where(self.words.have(made), made | np.uint64(1), np.uint64(0)).tolist()))
+        found = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
         if len(known) > self.most:
             del self.known[lang]
-        return np.flatnonzero(fine[:-1] & fine[1:])
+        return found
 
-    def pairs_of(self, lang: str, tokens: list[bytes], own: int) -> list[bytes]:
-        at = self.positions(lang, tokens)
-        return [tokens[i] + b" " + tokens[i + 1] for i in at[at < own].tolist()]
+    def pairs_of(self, lang: str, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Places where two frequent words of a piece follow each other, and the pairs' hashes."""
+        found = self.hashes(lang, tokens)
+        at = np.flatnonzero((found[:-1] > 0) & (found[1:] > 0))
+        mixed = (found[at] * MIX + found[at + 1]) * MIX
+        return at, mixed ^ mixed >> np.uint64(29)
 
     def suffixes(self, lang: str, tokens: list[bytes], own: int, longest: int) -> list[bytes]:
-        at = self.positions(lang, tokens)
-        joined = [tokens[i] + b" " + tokens[i + 1] for i in at.tolist()]
+        at, pairs = self.pairs_of(lang, tokens)
         link = np.zeros(len(tokens) + longest, np.int64)
-        link[at] = self.pairs.have(lang, joined)
+        link[at] = self.pairs.have(pairs)
         words = np.ones(len(tokens), np.int64)
         for ahead in range(longest - 2, -1, -1):  # 1 + link * (1 + the next link * ...)
             words = 1 + link[ahead:ahead + len(tokens)] * words
@@ -143,6 +152,33 @@ class _Links:
         return [b" ".join(tokens[i:i + n]) + b" " for i, n in zip(starts.tolist(), words[starts].tolist())]
 
 
+def pair_counts(docs: DataFrame, longest: int, links: Links) -> DataFrame:
+    """(pair, n): how often the pairs of a hash occur. Pairs that share one add up, which
+    keeps them all the same."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            for lang, rows in batch.groupby("lang", sort=False):
+                for texts in by_bytes(rows["text"], PIECE):
+                    for tokens, own in token_runs(texts, longest, PIECE):
+                        at, pairs = links.pairs_of(lang, tokens)
+                        held.append(pairs[at < own])
+                        size += len(held[-1])
+                        if size > 4 * HELD:
+                            yield passed_on(held)
+                            held, size = [], 0
+        if held:
+            yield passed_on(held)
+
+    def passed_on(held: list[np.ndarray]) -> pd.DataFrame:
+        pairs, n = np.unique(np.concatenate(held), return_counts=True)
+        return pd.DataFrame({"pair": pairs.view(np.int64), "n": n})
+
+    rows = docs.select("lang", "text").mapInPandas(run, "pair long, n long")
+    return rows.groupBy("pair").agg(F.sum("n").alias("n"))
+
+
 def equal_partitions(suffixes: np.ndarray, weight: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
     """(row, words, count) of every phrase of at least two words and ``least`` weight: the
     first ``words`` numbers of that row of ``suffixes``, where zero ends a suffix."""
@@ -195,13 +231,10 @@ def phrase_counts(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[
     a language, and frequent phrases of two words and more (lang, phrase, words, n)."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().alias("text"))
     words = saved(tallied(texts, longest, _words).where((F.col("n") >= least) | (F.col("phrase") == "")), "words")
-    word_bits = FrequentBits(words.select("lang", "phrase"))
-    links = _Links(word_bits)
-    pairs = saved(tallied(texts, longest, links.pairs_of).where(F.col("n") >= least), "pairs")
-    pair_bits = FrequentBits(pairs.select("lang", "phrase"))
+    word_bits = FrequentBits(words.select(word_hash(F.col("lang"), F.col("phrase"))))
+    pairs = saved(pair_counts(texts, longest, Links(word_bits)).where(F.col("n") >= least).select("pair"), "pairs")
+    chains = Links(word_bits, FrequentBits(pairs))
     discard(pairs)
-
-    chains = _Links(word_bits, pair_bits)
     routed = saved(tallied(texts, longest, lambda lang, tokens, own: chains.suffixes(lang, tokens, own, longest)).withColumnRenamed("phrase", "suffix"), "suffixes")
     ranges = max(1, -(-routed.count() // RANGE_ROWS))
 

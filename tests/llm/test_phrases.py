@@ -72,7 +72,7 @@ def test_parameters(spark):
 
 
 def test_full_bitmap_loses_nothing(spark, monkeypatch):
-    def full(self, phrases):
+    def full(self, hashes):
         self.last, self.bits = np.uint64(ph.BITS - 1), np.full(ph.BITS // 8, 255, np.uint8)
 
     monkeypatch.setattr(ph.FrequentBits, "__init__", full)
@@ -80,11 +80,13 @@ def test_full_bitmap_loses_nothing(spark, monkeypatch):
     assert mined(made(spark, rows), least=6) == sorted(plain(rows, 6))
 
 
-def test_bits_of_both_sides_agree(spark):
-    names = ["a", "of the", "é", "中文 x", "a\x01 b"]
-    bits = ph.FrequentBits(spark.createDataFrame([("en", n) for n in names], "lang string, phrase string"))
-    assert bits.have("en", [n.encode() for n in names]).all()
-    assert not bits.have("fr", [n.encode() for n in names]).any()
+def test_hashes_of_both_sides_agree(spark):
+    names = ["a", "of", "é", "中文", "a\x01"]
+    frame = spark.createDataFrame([("en", n) for n in names], "lang string, phrase string")
+    links = ph.Links(ph.FrequentBits(frame.select(ph.word_hash(F.col("lang"), F.col("phrase")))))
+    tokens = [n.encode() for n in names]
+    assert links.hashes("en", tokens).all() and not links.hashes("fr", tokens).any()
+    assert links.pairs_of("en", [tokens[0], b".", *tokens[1:3], b"rare", tokens[3]])[0].tolist() == [2]
 
 
 def test_empty_tables(spark):
