@@ -398,8 +398,7 @@ def plan_combine(s: Study) -> DataFrame:
 
 @query
 def tss_enrichment(s: Study) -> DataFrame:
-    profile = atac.tss_profile(atac.insertions(s.fragments), s.sites)
-    return atac.enrichment_from_profile(profile)
+    return atac.tss_enrichment(atac.insertions(s.fragments), s.sites)
 
 
 @query

@@ -27,7 +27,9 @@ TOP_PEAKS = 300_000
 HUMAN_GENOME_SIZE = 2_913_022_398
 
 # Physical defaults. TILE is the width of the genome slice one window task
-# handles; BIN is the width used to turn overlap predicates into equi-joins.
+# handles; BIN is the width used to turn overlap predicates into equi-joins. Bins of more
+# than HEAVY_ROWS rows are split, at most HEAVY_BINS of them.
 TILE = 1 << 16
 BIN = 1 << 11
-SALT = 8
+HEAVY_ROWS = 1_000_000
+HEAVY_BINS = 1 << 15

@@ -1,5 +1,7 @@
 """Fragment operators: insertions, assignment, barcode QC, TSS profile, replicates."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,6 +134,15 @@ def tss_profile_pseudobulk(profile: DataFrame, assignments: DataFrame) -> DataFr
     return profile.join(known, BARCODE).groupBy("pseudobulk_id", "slot").agg(F.sum("n").alias("n"))
 
 
+def _bands(half_window: int, half_smooth: int, flank: int) -> tuple:
+    site = F.col("tss0")
+    return (
+        (site - half_smooth, site + half_smooth + 1, 1, 0),
+        (site - half_window, site - half_window + flank, 0, 1),
+        (site + half_window - flank + 1, site + half_window + 1, 0, 1),
+    )
+
+
 def tss_band_weights(sites: DataFrame, half_window: int = C.TSS_HALF_WINDOW,
                      half_smooth: int = C.TSS_HALF_SMOOTH,
                      flank: int = C.TSS_FLANK) -> DataFrame:
@@ -142,17 +153,28 @@ def tss_band_weights(sites: DataFrame, half_window: int = C.TSS_HALF_WINDOW,
     counting them per base beforehand means an insertion meets at most one run
     however densely the sites lie.
     """
-    site = F.col("tss0")
-    bands = (
-        (site - half_smooth, site + half_smooth + 1, 1, 0),
-        (site - half_window, site - half_window + flank, 0, 1),
-        (site + half_window - flank + 1, site + half_window + 1, 0, 1),
-    )
     spans = _sites_off_mito(sites).select(
-        "contig", unfold(["start", "end", "c", "f"], *bands))
+        "contig", unfold(["start", "end", "c", "f"], *_bands(half_window, half_smooth, flank)))
     return coverage(spans, "start", "end", weights={"center": F.col("c"), "flank": F.col("f")})
 
 
+def tss_enrichment(points: DataFrame, sites: DataFrame, keys: Sequence[str] = BARCODE,
+                   half_window: int = C.TSS_HALF_WINDOW, half_smooth: int = C.TSS_HALF_SMOOTH,
+                   flank: int = C.TSS_FLANK) -> DataFrame:
+    """What ``enrichment_from_profile`` makes of the profile, without a row per slot.
+
+    A further depth counts the windows over a base, so keys whose insertions all lie
+    between the bands keep their row.
+    """
+    spans = _sites_off_mito(sites).select("contig", unfold(
+        ["start", "end", "c", "f", "w"], *[(*band, 0) for band in _bands(half_window, half_smooth, flank)],
+        (F.col("tss0") - half_window, F.col("tss0") + half_window + 1, 0, 0, 1)))
+    runs = coverage(spans, "start", "end", weights={"center": F.col("c"), "flank": F.col("f"), "_near": F.col("w")})
+    met = points_in_intervals(points.select(*keys, "contig", "pos"), "pos", runs, "start", "end", ["contig"], width=256)
+    return met.groupBy(*keys).agg(F.sum("center").alias("center"), F.sum("flank").alias("flank")).withColumn(
+        "tss_enrichment", S.tss_enrichment(F.col("center"), F.col("flank"), half_smooth, flank))
+
+
 # --- barcode QC ------------------------------------------------------------
 
 

@@ -2,23 +2,19 @@
 
 A bare range condition would be planned as a nested loop. Rows are assigned to
 bins instead, so Catalyst sees an equality on (keys, bin) plus a residual test.
-Which side is broadcast is left to the size Catalyst and adaptive execution
-measure; when the smaller side is too large for that, both sides are shuffled on
-(keys, bin, salt), so that a bin holding a large share of the rows is spread.
+The smaller side is written first, so whether it is broadcast rests on its measured
+size. When it is too large for that, the rows of every bin are counted once, and bins
+above a load are split over as many tasks as they need; no other bin is touched.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellbulk import constants as C
 from cellbulk.functions.genomics import slice_of
-
-
-def estimated_bytes(frame: DataFrame) -> int:
-    """The optimizer's size estimate for a plan; no job is run."""
-    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+from cellbulk.session import saved, saved_bytes
 
 
 def broadcast_limit(frame: DataFrame) -> int:
@@ -28,10 +24,6 @@ def broadcast_limit(frame: DataFrame) -> int:
     return int(text.rstrip("kmg")) * scale
 
 
-def fits_broadcast(frame: DataFrame) -> bool:
-    return estimated_bytes(frame) <= broadcast_limit(frame)
-
-
 def salted(big: DataFrame, small: DataFrame, salt: int, *identity: Column
            ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Spread every key of ``big`` over ``salt`` tasks and repeat ``small`` for each."""
@@ -44,6 +36,51 @@ def salted(big: DataFrame, small: DataFrame, salt: int, *identity: Column
     )
 
 
+def heavy_bins(placed: DataFrame, on: Sequence[str], rows: int = C.HEAVY_ROWS,
+               most: int = C.HEAVY_BINS) -> DataFrame:
+    """(on, _fan) of the bins that hold more than ``rows`` rows, from one count of all bins.
+
+    ``_fan`` is the number of shares of about ``rows`` rows. Where that would name more
+    than ``most`` bins, shares are the ``most``-th part of all rows instead, so the table
+    stays below ``most`` rows and may be broadcast at any scale.
+    """
+    total = Observation()
+    counted = placed.groupBy(*on).agg(F.count("*").alias("_n")).observe(total, F.sum("_n").alias("n"))
+    found = saved(counted.where(F.col("_n") > rows), "heavy-bins")
+    share = max(rows, -(-(total.get["n"] or 0) // most))
+    return found.where(F.col("_n") > share).select(*on, F.ceil(F.col("_n") / share).alias("_fan"))
+
+
+def split_by_load(big: DataFrame, small: DataFrame, on: Sequence[str], rows: int,
+                  identity: Sequence[Column]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Spread heavy bins of ``big`` over as many tasks as their rows ask for; only there
+    rows of ``small`` are repeated. The share of a row follows from its values alone."""
+    heavy = heavy_bins(big, on, rows)
+    if heavy.isEmpty():
+        return big, small, []
+    heavy = F.broadcast(heavy)
+    fan = F.coalesce("_fan", F.lit(1))
+    spread = big.join(heavy, list(on), "left").withColumn("_salt", F.pmod(F.xxhash64(*identity), fan)).drop("_fan")
+    repeated = small.join(heavy, list(on), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), fan - 1))).drop("_fan")
+    return spread, repeated, ["_salt"]
+
+
+def _meeting(big: DataFrame, small: DataFrame, on: Sequence[str], salt: int | None, rows: int,
+             identity: Sequence[Column]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join on bins, and the further join column where bins are split.
+
+    The small side is written, so its size is measured; where Catalyst will broadcast it,
+    no bin need be split. ``salt`` splits every bin alike instead.
+    """
+    if salt is not None:
+        return salted(big, small, salt, *identity)
+    small = saved(small, "bins")
+    if saved_bytes(small) <= broadcast_limit(small):
+        return big, small, []
+    return split_by_load(big, small, on, rows, identity)
+
+
 def never_null(key: Column) -> Column:
     """A join key Catalyst need not test for NULL.
 
@@ -53,12 +90,6 @@ def never_null(key: Column) -> Column:
     return F.coalesce(key, F.lit(0))
 
 
-def _salt_for(small: DataFrame, salt: int | None) -> int:
-    if salt is not None:
-        return salt
-    return 1 if fits_broadcast(small) else C.SALT
-
-
 def spread_over_bins(intervals: DataFrame, start: Column, end: Column, width: int,
                      out: str = "_bin") -> DataFrame:
     """One row per bin that [start, end) touches."""
@@ -70,6 +101,7 @@ def spread_over_bins(intervals: DataFrame, start: Column, end: Column, width: in
 def points_in_intervals(
     points: DataFrame, position: str, intervals: DataFrame, start: str, end: str,
     keys: Sequence[str], width: int = C.BIN, salt: int | None = None, how: str = "inner",
+    heavy_rows: int = C.HEAVY_ROWS,
 ) -> DataFrame:
     """Join points with the intervals [start, end) that contain them.
 
@@ -78,8 +110,8 @@ def points_in_intervals(
     """
     spread = spread_over_bins(intervals, F.col(start), F.col(end), width)
     binned = points.withColumn("_bin", never_null(slice_of(F.col(position), width)))
-    left, right, extra = salted(binned, spread, _salt_for(intervals, salt),
-                                *[F.col(c) for c in points.columns])
+    left, right, extra = _meeting(binned, spread, [*keys, "_bin"], salt, heavy_rows,
+                                  [F.col(c) for c in points.columns])
     link = (*keys, "_bin", *extra)
     right = right.withColumnsRenamed({c: f"_r{c}" for c in link})
     on = [F.col(c) == F.col(f"_r{c}") for c in link]
@@ -141,7 +173,7 @@ def _partners(b: DataFrame, b_start: str, b_end: str, keys: Sequence[str], width
 def overlap_filter(
     a: DataFrame, a_start: str, a_end: str, b: DataFrame, b_start: str, b_end: str,
     keys: Sequence[str], how: str = "semi", min_overlap: float | None = None,
-    width: int = C.BIN, salt: int | None = None,
+    width: int = C.BIN, salt: int | None = None, heavy_rows: int = C.HEAVY_ROWS,
 ) -> DataFrame:
     """Rows of ``a`` that overlap some row of ``b`` (``semi``) or none (``anti``).
 
@@ -154,7 +186,7 @@ def overlap_filter(
     if how not in ("semi", "anti"):
         raise ValueError(f"how must be 'semi' or 'anti', not {how!r}")
     left, right, on = _level_join(a, a_start, a_end, b, b_start, b_end, keys, min_overlap,
-                                  width, salt)
+                                  width, salt, heavy_rows)
     link = [F.col(c) == F.col(f"_r{c}") for c in on]
     return left.join(right, [*link, _residual(a_start, a_end, min_overlap)],
                      f"left_{how}").select(*a.columns)
@@ -163,14 +195,14 @@ def overlap_filter(
 def overlap_flag(
     a: DataFrame, a_start: str, a_end: str, b: DataFrame, b_start: str, b_end: str,
     keys: Sequence[str], out: str, min_overlap: float | None = None, width: int = C.BIN,
-    salt: int | None = None,
+    salt: int | None = None, heavy_rows: int = C.HEAVY_ROWS,
 ) -> DataFrame:
     """All rows of ``a`` with a flag telling whether some row of ``b`` overlaps.
 
     Planned as one existence join, so ``a`` is read once for both outcomes.
     """
     left, right, on = _level_join(a, a_start, a_end, b, b_start, b_end, keys, min_overlap,
-                                  width, salt)
+                                  width, salt, heavy_rows)
     # Outer names must not occur below the subquery, where they would bind first.
     outer = left.select(
         *a.columns, *[F.col(c).alias(f"_o{c}") for c in on],
@@ -186,13 +218,14 @@ def overlap_flag(
     return outer.select(*a.columns, right.where(test).exists().alias(out))
 
 
-def _level_join(a, a_start, a_end, b, b_start, b_end, keys, min_overlap, width, salt):
+def _level_join(a, a_start, a_end, b, b_start, b_end, keys, min_overlap, width, salt, heavy_rows):
     """Both sides placed on (level, bin, salt), and the names of the join columns."""
     level, slot = _level_and_bin(F.col(a_start), F.col(a_end) - F.col(a_start), width)
     placed = a.withColumn("_level", level).withColumn("_bin", slot)
     near = _partners(b, b_start, b_end, keys, width, merge=min_overlap is None)
-    left, right, extra = salted(placed, near, _salt_for(b, salt), *[F.col(c) for c in a.columns])
-    on = [*keys, "_level", "_bin", *extra]
+    on = [*keys, "_level", "_bin"]
+    left, right, extra = _meeting(placed, near, on, salt, heavy_rows, [F.col(c) for c in a.columns])
+    on += extra
     return left, right.select(*[F.col(c).alias(f"_r{c}") for c in on], "_b_start", "_b_end"), on
 
 

@@ -59,6 +59,15 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def saved_bytes(frame: DataFrame) -> int:
+    """Size of the files of a frame made by ``saved``; contents are not read."""
+    files = frame.inputFiles()
+    if not files:
+        return 0
+    listing = frame.sparkSession.read.format("binaryFile").load(files[0].rsplit("/", 1)[0])
+    return listing.agg({"length": "sum"}).first()[0] or 0
+
+
 def discard(frame: DataFrame) -> None:
     """Delete the files of a frame made by ``saved``; the frame is empty afterwards.
 

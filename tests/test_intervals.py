@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cellbulk.operators.intervals import overlap_filter, overlap_flag, points_in_intervals
+from cellbulk.operators.intervals import heavy_bins, overlap_filter, overlap_flag, points_in_intervals
 from cellbulk.operators.ranking import top_n
 from cellbulk.operators.tracks import (
     coverage,
@@ -80,6 +80,62 @@ def test_one_locus_holding_everything(spark):
     assert overlap_filter(*args, how="anti", salt=4).count() == 0
 
 
+@pytest.fixture
+def shuffled(spark):
+    """No broadcasts, and as many tasks as there are shuffle partitions."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def hot_rows(spark):
+    """A third of the rows at one locus, the rest over 2,000 bins."""
+    return spark.range(60_000).select(
+        F.lit("c1").alias("contig"), F.when(F.col("id") % 3 == 0, F.lit(100)).otherwise(1000 + F.col("id") * 67).alias("start"),
+        "id").withColumn("end", F.col("start") + 20)
+
+
+def loads(frame):
+    """Largest and median number of rows a task of the join gives."""
+    n = sorted(r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect())
+    return n[-1], n[len(n) // 2], len(n)
+
+
+@pytest.mark.parametrize("kind", ["semi", "flag", "points"])
+def test_a_hot_bin_is_split_by_its_load(spark, shuffled, kind):
+    left = hot_rows(spark)
+    spans = left.groupBy("contig", "start").agg(F.max("end").alias("end"))
+    args = (left, "start", "end", spans, "start", "end", ["contig"])
+    points = (left.withColumnsRenamed({"start": "pos"}).drop("end"), "pos", spans, "start", "end", ["contig"])
+
+    def run(rows):
+        if kind == "points":
+            return points_in_intervals(*points, heavy_rows=rows)
+        if kind == "flag":
+            return overlap_flag(*args, out="hit", heavy_rows=rows).where("hit")
+        return overlap_filter(*args, heavy_rows=rows)
+
+    split, whole = run(500), run(10**9)
+    largest, median, tasks = loads(split)
+    assert tasks == 16 and largest < 3 * median
+    assert loads(whole)[0] > 5 * loads(whole)[1]
+    assert split.count() == 60_000 and split.select("id").distinct().count() == 60_000
+    if kind == "semi":
+        assert overlap_filter(*args, how="anti", heavy_rows=500).isEmpty()
+
+
+def test_heavy_bins_stay_few(spark):
+    rows = spark.range(10_000).select((F.col("id") % 100).alias("bin"))
+    assert heavy_bins(rows, ["bin"], rows=10).count() == 100
+    few = heavy_bins(rows.unionAll(rows.where("bin = 7")), ["bin"], rows=10, most=60)
+    assert [(r.bin, r._fan) for r in few.collect()] == [(7, 2)]
+    assert heavy_bins(rows.limit(0), ["bin"]).isEmpty()
+
+
 def test_points_left_join_keeps_every_point(spark):
     points = spark.createDataFrame([("c1", p) for p in (5, 10, 300, 9999)], "contig string, pos long")
     spans = spark.createDataFrame([("c1", 0, 10), ("c1", 300, 301)], "contig string, s long, e long")
