@@ -122,10 +122,10 @@ def _tail_scores(k: np.ndarray, lam: np.ndarray) -> np.ndarray:
 
 def _scores(k: pd.Series, lam: pd.Series) -> pd.Series:
     """Segments repeat few pairs, so each distinct pair is worked out once."""
-    pairs = np.stack([k.to_numpy(np.float64, na_value=np.nan), lam.to_numpy(np.float64, na_value=np.nan)], axis=1)
-    distinct, place = np.unique(pairs, axis=0, return_inverse=True)
-    found = pd.Series(_tail_scores(distinct[:, 0], distinct[:, 1])[place.ravel()])
-    return found.astype(object).where(found.notna(), None)
+    both = np.empty(len(k), np.complex128)
+    both.real, both.imag = k.to_numpy(np.float64, na_value=np.nan), lam.to_numpy(np.float64, na_value=np.nan)
+    place, distinct = pd.factorize(both)  # pairs with NaN get place -1, the last of the scores
+    return pd.Series(np.append(_tail_scores(distinct.real, distinct.imag), np.nan)[place])  # NaN turns NULL
 
 
 # Declared non-deterministic so that a filter on the score is not pushed below it, which
