@@ -130,8 +130,8 @@ class Links:
         made = np.fromiter((xxh64_intdigest(before + t, SEED) for t in fresh), np.uint64, len(fresh))
         known.update(zip(fresh, np.where(self.words.have(made), made | np.uint64(1), np.uint64(0)).tolist()))
         found = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
-        if len(known) > self.most:
-            del self.known[lang]
+        if sum(map(len, self.known.values())) > self.most:
+            self.known.clear()
         return found
 
     def pairs_of(self, lang: str, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
