@@ -17,7 +17,7 @@ from cellbulk.plans import peaks as peak_plan
 from cellbulk.plans import rna as rna_plan
 from cellbulk.plans import summary as summary_plan
 from cellbulk.session import new_folder, saved
-from cellbulk.sources import block_gzip, checksums, readers, writers
+from cellbulk.sources import block_gzip, by_name, checksums, readers, writers
 from cellbulk.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,6 +142,29 @@ def scan_qc(s: Study) -> DataFrame:
                            exclude=["analysis_set_accession,pseudobulk_id", "subsample"])
 
 
+def _mixed_headers(s: Study) -> str:
+    """The accession table in one file format per accession: columns permuted, some left out."""
+    path, whole = s.folder("mixed-headers"), saved(s.combined_qc(), "accession-qc")
+    names = whole.columns
+    layouts = {"ACC0": names, "ACC1": names[::-1], "ACC2": [c for c in names if not c.startswith("pct_")],
+               "ACC3": [*names[8:], *names[:6]]}
+    for accession, columns in layouts.items():
+        whole.where(F.col("analysis_set_accession") == accession).select(*columns).write.csv(
+            f"{path}/{accession}", sep="\t", header=True, compression="gzip")
+    return path
+
+
+@query
+def scan_by_name(s: Study) -> DataFrame:
+    return by_name.scan_by_name(s.spark, _mixed_headers(s), schemas.ACCESSION_QC, sep="\t")
+
+
+@query
+def scan_relaxed(s: Study) -> DataFrame:
+    """The same files without a schema; types follow from the values."""
+    return by_name.with_found_types(by_name.scan_by_name(s.spark, _mixed_headers(s), sep="\t"))
+
+
 @query
 def load_metadata(s: Study) -> DataFrame:
     path = s.folder("metadata") + ".tsv"

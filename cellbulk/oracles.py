@@ -259,6 +259,10 @@ O["scan_fragments"] = O["scan_fragment_blocks"] = "SELECT * FROM fragments"
 O["scan_table"] = "SELECT * FROM tss"
 O["scan_qc"] = ("SELECT * EXCLUDE (analysis_set_accession, pseudobulk_id) FROM "
                 f"(SELECT {_COMBINED_DOUBLE} FROM combined)")
+_ACC = f"FROM (SELECT {_COMBINED_DOUBLE} FROM combined) WHERE analysis_set_accession"
+O["scan_by_name"] = O["scan_relaxed"] = f"""SELECT * {_ACC} IN ('ACC0', 'ACC1')
+UNION ALL BY NAME SELECT * EXCLUDE (pct_mito, pct_ribo, pct_duplicated_reads) {_ACC} = 'ACC2'
+UNION ALL BY NAME SELECT * EXCLUDE (rna_read_count, gene_count) {_ACC} = 'ACC3'"""
 O["load_metadata"] = "SELECT * FROM cells"
 O["metadata_violations"] = """SELECT 'repeated barcode' AS rule, concat('ACC/', barcode_sample) AS item
 FROM metadata GROUP BY barcode_sample HAVING count(*) > 1"""
