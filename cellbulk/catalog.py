@@ -11,7 +11,7 @@ from cellbulk.adapters import GENOME_SIZE, Tables
 from cellbulk.functions import stats as S
 from cellbulk.operators import annotation, atac, inventory, peaks, qc, report, rna
 from cellbulk.operators.intervals import clip_to_contigs, genome_sorted
-from cellbulk.operators.tracks import coverage, overlay
+from cellbulk.operators.tracks import coverage, overlay, zoom_levels
 from cellbulk.plans import atac as atac_plan
 from cellbulk.plans import peaks as peak_plan
 from cellbulk.plans import rna as rna_plan
@@ -249,6 +249,14 @@ def sort_fragments(s: Study) -> DataFrame:
     return s.spark.read.schema(schemas.FRAGMENT.add("pseudobulk_id", "string")).csv(path, sep="\t")
 
 
+@query
+def sorted_region(s: Study) -> DataFrame:
+    """Fragments of part of a contig, from the files that reach into it."""
+    path = s.folder("sorted")
+    writers.write_sorted_fragments(s.members, s.chrom_sizes, path)
+    return readers.read_region(s.spark, path, "chr3", 4_000_000, 9_000_000)
+
+
 @query
 def accession_qc_sink(s: Study) -> DataFrame:
     path = s.folder("accession-qc")
@@ -563,6 +571,12 @@ def raw_insertions(s: Study) -> DataFrame:
     return peaks.raw_insertion_track(s.insertion_counts)
 
 
+@query
+def track_zooms(s: Study) -> DataFrame:
+    """The tag pile-up of every set in windows of 64 bases to 16 million."""
+    return zoom_levels(peaks.treatment_pileup(s.insertion_counts, per_million=False), peaks.TRACK)
+
+
 @query
 def peak_coverage(s: Study) -> DataFrame:
     return peaks.peak_coverage_track(s.peaks_by_rep)
@@ -662,6 +676,18 @@ def box_stats(s: Study) -> DataFrame:
     return report.box_stats(rounded(_long(s)))
 
 
+@query
+def sketched_quantiles(s: Study) -> DataFrame:
+    """Quantiles from sketches added accession by accession, and whether their rank errors
+    stay below one per cent of the values."""
+    folder, long = s.folder("sketches"), saved(rounded(_long(s)), "metrics")
+    for accession in ("ACC0", "ACC1", "ACC2", "ACC3"):
+        report.metric_sketches(long.where(F.col("analysis_set_accession") == accession)).write.mode("append").parquet(folder)
+    found = report.sketched_quantiles(s.spark.read.parquet(folder), (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0))
+    checked = report.rank_errors(saved(found, "quantiles"), long)
+    return checked.select("metric", "n", "quantile", (F.col("error") < 0.01).alias("within"))
+
+
 @query
 def outliers(s: Study) -> DataFrame:
     long = rounded(_long(s)).withColumn("cell", F.concat_ws("/", *atac.BARCODE))

@@ -54,6 +54,51 @@ def box_stats_approx(long: DataFrame, group: Sequence[str] = ("metric",),
              F.col("_q")[2].alias("q3"), "max_val")
 
 
+def metric_sketches(long: DataFrame, group: Sequence[str] = ("analysis_set_accession", "metric"),
+                    size: int = 1024) -> DataFrame:
+    """(group, n, min_val, max_val, sketch): a KLL sketch of the values of each group.
+
+    Sketches are kept per accession and merged when quantiles are asked for, so a new
+    accession costs one pass over its own values. NaN is left out.
+    """
+    return long.where(~F.isnan("value")).groupBy(*group).agg(
+        F.count("value").alias("n"), F.min("value").alias("min_val"), F.max("value").alias("max_val"),
+        F.kll_sketch_agg_double("value", F.lit(size)).alias("sketch")).where("n > 0")
+
+
+def sketched_quantiles(sketches: DataFrame, at: Sequence[float] = (0.25, 0.5, 0.75),
+                       group: Sequence[str] = ("metric",)) -> DataFrame:
+    """(group, n, quantile, value) from merged sketches.
+
+    The share of values below ``value`` differs from ``quantile`` by less than 0.01 with
+    sketches of size 1024 (their published error is 0.005 at 99 % confidence), however many
+    were merged; 0 and 1 give the exact minimum and maximum.
+    """
+    whole = sketches.groupBy(*group).agg(
+        F.sum("n").alias("n"), F.min("min_val").alias("min_val"), F.max("max_val").alias("max_val"),
+        F.kll_merge_agg_double("sketch").alias("sketch"))
+
+    def value(q: float):
+        inner = F.kll_sketch_get_quantile_double("sketch", F.lit(float(q)))
+        return F.col("min_val") if q <= 0 else F.col("max_val") if q >= 1 else inner
+
+    return whole.select(*group, "n", F.inline(F.array(*[
+        F.struct(F.lit(float(q)).alias("quantile"), value(q).alias("value")) for q in at])))
+
+
+def rank_errors(quantiles: DataFrame, long: DataFrame, group: Sequence[str] = ("metric",)) -> DataFrame:
+    """``quantiles`` with ``error``: how far the quantile lies outside the ranks that its
+    value has among ``long``, as a share of all values."""
+    group = list(group)
+    asked = quantiles.select(*group, "quantile", F.col("value").alias("_at"))
+    ranks = long.join(asked, group).groupBy(*group, "quantile").agg(
+        F.avg((F.col("value") < F.col("_at")).cast("double")).alias("_below"),
+        F.avg((F.col("value") <= F.col("_at")).cast("double")).alias("_upto"))
+    q = F.col("quantile")
+    return quantiles.join(ranks, [*group, "quantile"]).withColumn(
+        "error", F.greatest(F.col("_below") - q, q - F.col("_upto"), F.lit(0.0))).drop("_below", "_upto")
+
+
 def outliers(long: DataFrame, index: str, most: int = 5, group: Sequence[str] = ("metric",)
              ) -> DataFrame:
     """Up to ``most`` values outside the fences, evenly spaced in value order.

@@ -17,6 +17,7 @@ from cellbulk.operators.tiling import (
     up_to_here,
     with_tile_state,
 )
+from cellbulk.session import saved
 
 
 def coverage(
@@ -204,3 +205,36 @@ def merge_equal_neighbours(track: DataFrame, values: Sequence[str],
         F.min("start").alias("start"), F.max("end").alias("end"),
         *[F.first(v).alias(v) for v in values],
     ).drop("island")
+
+
+def zoom_levels(track: DataFrame, keys: Sequence[str] = ("contig",), value: str = "value",
+                finest: int = 6, step: int = 2, levels: int = 10) -> DataFrame:
+    """Summaries (keys, level, window, value_sum, min_value, max_value, covered) of a track in
+    windows of ``2**level`` bases, for ``levels`` levels from ``finest`` on, ``step`` apart.
+
+    ``value_sum`` and ``covered`` count bases of runs, so their ratio is the mean; windows no
+    run covers are absent. Runs are cut at the borders of the finest windows once; all
+    coarser windows are sums of finest ones, added up before they are shuffled. A run of any
+    length costs one row per finest window it covers.
+    """
+    at = F.col("_w")
+    cut = track.select(*keys, "start", "end", F.col(value).cast("double").alias("_v"), F.explode(F.sequence(
+        F.shiftright(F.col("start").cast("long"), finest), F.shiftright(F.col("end").cast("long") - 1, finest))).alias("_w"))
+    length = F.least("end", F.shiftleft(at + 1, finest)) - F.greatest("start", F.shiftleft(at, finest))
+    base = saved(cut.where("end > start").withColumn("_n", length).groupBy(*keys, "_w").agg(
+        F.sum(F.col("_v") * F.col("_n")).alias("value_sum"), F.min("_v").alias("min_value"),
+        F.max("_v").alias("max_value"), F.sum("_n").alias("covered")), "zoom-base")
+    places = F.array(*[F.struct(F.lit(finest + i * step).alias("level"), F.shiftright("_w", i * step).alias("window"))
+                       for i in range(levels)])
+    return base.select("*", F.inline(places)).groupBy(*keys, "level", "window").agg(
+        F.sum("value_sum").alias("value_sum"), F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"), F.sum("covered").alias("covered"))
+
+
+def zoom_view(zooms: DataFrame, start: int, end: int, windows: int, where: Column | None = None) -> DataFrame:
+    """The windows that reach into [start, end) at the coarsest stored level that still cuts it
+    into ``windows`` pieces, or at the finest there is."""
+    chosen = zooms if where is None else zooms.where(where)
+    known = sorted(r.level for r in chosen.select("level").distinct().collect())
+    level = max((k for k in known if (end - start) >> k >= windows), default=min(known, default=0))
+    return chosen.where((F.col("level") == level) & F.col("window").between(start >> level, (end - 1) >> level))

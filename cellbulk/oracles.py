@@ -363,6 +363,14 @@ O["poisson_score_deep"] = """SELECT c_custkey, round(lam, 6) AS background, k AS
  ELSE -log10(1 - list_sum(list_transform(range(greatest(0, k - CAST(ceil(12 * sqrt(lam + 1) + 60) AS BIGINT)), k + 1), lambda i: exp(i * ln(lam) - lam - lgamma(i + 1))))) END, 6) AS score
 FROM (SELECT c_custkey, lam, CAST(floor(lam * (0.9::DOUBLE + (c_custkey % 21) / 100.0::DOUBLE)) AS BIGINT) AS k
       FROM (SELECT c_custkey, pow(10.0::DOUBLE, (CAST(c_custkey AS BIGINT) * 7919 % 801) / 100.0::DOUBLE - 2.0::DOUBLE) AS lam FROM customer))"""
+O["track_zooms"] = """SELECT pseudobulk_id, rep, contig, k AS level, w AS window, sum(depth * (hi - lo)) AS value_sum,
+min(depth) AS min_value, max(depth) AS max_value, CAST(sum(hi - lo) AS BIGINT) AS covered
+FROM (SELECT pseudobulk_id, rep, contig, depth::DOUBLE AS depth, k, w, greatest(start, w << k) AS lo, least("end", (w + 1) << k) AS hi
+      FROM (SELECT *, unnest(range(start >> k, (("end" - 1) >> k) + 1)) AS w
+            FROM (SELECT * FROM pileup WHERE depth > 0), (SELECT unnest(range(6, 26, 2)) AS k)))
+GROUP BY 1, 2, 3, 4, 5"""
+O["sorted_region"] = f"""SELECT pseudobulk_id, contig, frag_start, frag_end, barcode_sample, num_reads FROM members
+WHERE contig = 'chr3' AND frag_start < 9000000 AND frag_end > 4000000"""
 O["text_md5"] = "SELECT doc_id, md5(text) AS md5 FROM documents"
 O["call_regions"] = """SELECT pseudobulk_id, rep, contig, min(start) AS pk_start, max("end") AS pk_end,
 CAST(floor((first(start ORDER BY pileup DESC, score DESC, start) + first("end" ORDER BY pileup DESC, score DESC, start)) / 2) AS BIGINT) AS summit,
@@ -413,6 +421,8 @@ O["union_relaxed"] = f"""SELECT analysis_set_accession, barcode_sample, pseudobu
 {_round('pct_mito, pct_ribo')}, NULL::DOUBLE AS num_frags FROM rnaqc
 UNION ALL SELECT analysis_set_accession, barcode_sample, pseudobulk_id, NULL, NULL, NULL, NULL, num_frags::DOUBLE FROM atacqc"""
 O["box_stats"] = f"SELECT metric, n, {_round('min_val, q1, median, q3, max_val, iqr, low, high, symlog_width')} FROM boxes"
+O["sketched_quantiles"] = """SELECT metric, count(*) AS n, quantile, TRUE AS within FROM long,
+(VALUES (0.0::DOUBLE), (0.05), (0.25), (0.5), (0.75), (0.95), (1.0)) AS q(quantile) GROUP BY metric, quantile"""
 O["outliers"] = """WITH_OUT SELECT metric, cell, value, round(CASE WHEN symlog_width IS NULL OR abs(value) < symlog_width THEN value
  ELSE sign(value) * (symlog_width + ln(1 + (abs(value) - symlog_width) / ln(10)) / ln(10)) END, 6) AS scaled_value
 FROM (SELECT *, row_number() OVER (PARTITION BY metric, value ORDER BY cell) AS tie FROM outside) o

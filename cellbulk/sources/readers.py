@@ -34,6 +34,25 @@ def scan_fragments(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
                       *schemas.FRAGMENT.names)
 
 
+def read_region(spark: SparkSession, path: str, contig: str, start: int, end: int,
+                pseudobulks: Sequence[str] | None = None) -> DataFrame:
+    """Fragments of sorted files that overlap [start, end) of a contig.
+
+    The manifest names the files that reach into the region; no other is opened. The driver
+    sees their names only.
+    """
+    manifest = spark.read.parquet(path.rstrip("/") + ".manifest").where(
+        (F.col("contig") == contig) & (F.col("first_start") < end) & (F.col("largest_end") > start))
+    if pseudobulks is not None:
+        manifest = manifest.where(F.col("pseudobulk_id").isin(list(pseudobulks)))
+    files = [r.file for r in manifest.select("file").distinct().collect()]
+    schema = T.StructType([*schemas.FRAGMENT.fields, T.StructField("pseudobulk_id", T.StringType())])
+    if not files:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("sep", "\t").option("basePath", path).csv(files)
+    return rows.where((F.col("contig") == contig) & (F.col("frag_start") < end) & (F.col("frag_end") > start))
+
+
 def scan_table(spark: SparkSession, path: str, sep: str | None = None,
                schema: T.StructType | None = None, header: bool = True,
                required: Iterable[str] = ()) -> DataFrame:

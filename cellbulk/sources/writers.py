@@ -7,9 +7,11 @@ one long task.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cellbulk import schemas
 from cellbulk.functions import genomics as G
 from cellbulk.functions.rows import unfold
 
@@ -61,6 +63,27 @@ def write_sorted_fragments(members: DataFrame, chrom_sizes: DataFrame, path: str
      .select(*columns, "pseudobulk_id")
      .write.mode("overwrite").partitionBy("pseudobulk_id")
      .csv(path, sep="\t", compression="gzip"))
+    write_manifest(members.sparkSession, path)
+
+
+def write_manifest(spark: SparkSession, path: str) -> None:
+    """(file, pseudobulk_id, contig, first_start, largest_end, rows) of sorted fragment files,
+    next to them. One scan; what it shuffles is a row per file and contig."""
+    schema = T.StructType([*schemas.FRAGMENT.fields, T.StructField("pseudobulk_id", T.StringType())])
+    rows = spark.read.schema(schema).csv(path, sep="\t").select(
+        file_path(F.col("_metadata.file_path")).alias("file"), "pseudobulk_id", "contig", "frag_start", "frag_end")
+    rows.groupBy("file", "pseudobulk_id", "contig").agg(
+        F.min("frag_start").alias("first_start"), F.max("frag_end").alias("largest_end"),
+        F.count("*").alias("rows")).write.mode("overwrite").parquet(manifest_of(path))
+
+
+def manifest_of(path: str) -> str:
+    return path.rstrip("/") + ".manifest"
+
+
+def file_path(uri: Column) -> Column:
+    """The path that a file's URI stands for."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
 def write_bedgraph(track: DataFrame, chrom_sizes: DataFrame, path: str,
