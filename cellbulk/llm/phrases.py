@@ -37,7 +37,7 @@ from cellbulk.session import discard, saved
 BITS, SEED = 1 << 24, 42
 MIX = np.uint64(0x9E3779B97F4A7C15)
 PIECE, HELD = 1 << 20, 400_000
-RANGE_ROWS = 400_000
+RANGE_ROWS = 100_000
 BREAK = b"."
 _STOPS = ".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes.maketrans(f"{UPPER}{_STOPS}\t".encode(), f"{LOWER}{'.' * len(_STOPS)} ".encode())
@@ -117,7 +117,7 @@ class Links:
     """Neighbouring tokens that may belong to a frequent phrase."""
 
     def __init__(self, words: FrequentBits, pairs: FrequentBits | None = None):
-        self.words, self.pairs, self.most = words, pairs, HELD
+        self.words, self.pairs, self.most = words, pairs, HELD // 2
         self.known: dict[str, dict[bytes, int]] = {}
 
     def hashes(self, lang: str, tokens: list[bytes]) -> np.ndarray:
