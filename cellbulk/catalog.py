@@ -13,7 +13,9 @@ from cellbulk.operators import annotation, atac, inventory, peaks, qc, report, r
 from cellbulk.operators.intervals import clip_to_contigs, genome_sorted
 from cellbulk.operators.tracks import coverage, overlay, zoom_levels
 from cellbulk.plans import atac as atac_plan
+from cellbulk.plans import inventory as inventory_plan
 from cellbulk.plans import peaks as peak_plan
+from cellbulk.plans import preparation as preparation_plan
 from cellbulk.plans import rna as rna_plan
 from cellbulk.plans import summary as summary_plan
 from cellbulk.session import new_folder, saved
@@ -427,6 +429,68 @@ def plan_combine(s: Study) -> DataFrame:
         *schemas.ACCESSION_QC.names)
 
 
+@query
+def plan_report_boxes(s: Study) -> DataFrame:
+    return _report(s)["boxes"]
+
+
+@query
+def plan_report_outliers(s: Study) -> DataFrame:
+    return _report(s)["outliers"].withColumnRenamed("_index", "cell")
+
+
+@query
+def plan_report_categories(s: Study) -> DataFrame:
+    """Shares of the columns of the accession table that are no numbers."""
+    return summary_plan.report_statistics(s.combined_qc(), "barcode_sample", ["analysis_set_accession"])["categories"]
+
+
+def _report(s: Study) -> dict[str, DataFrame]:
+    cells = rounded(s.atac_qc.select(F.concat_ws("/", *atac.BARCODE).alias("cell"), "pseudobulk_id", *METRICS))
+    return summary_plan.report_statistics(cells, "cell", ["pseudobulk_id"])
+
+
+def _prepared(s: Study) -> dict[str, str]:
+    lines = s.folder("gtf")
+    s.gtf_lines.write.text(lines)
+    return preparation_plan.prepare_annotation(s.spark, lines, s.folder("reference"))
+
+
+@query
+def plan_gene_info(s: Study) -> DataFrame:
+    return readers.scan_table(s.spark, _prepared(s)["gene_info"], schema=schemas.GENE_INFO)
+
+
+@query
+def plan_tss(s: Study) -> DataFrame:
+    return readers.scan_table(s.spark, _prepared(s)["tss"], schema=schemas.TSS)
+
+
+@query
+def plan_inventory(s: Study) -> DataFrame:
+    """States of the files expected of every pseudobulk in a folder that holds other files."""
+    names = annotation.cell_name_mapping(s.cells).select("pseudobulk_id")
+    tables = inventory_plan.output_inventory(s.spark, s.sf_dir, names, _records(s))
+    states = tables["expected"].join(names.withColumnRenamed("pseudobulk_id", "folder"), "folder")
+    alone = tables["pseudobulks"].withColumnRenamed("pseudobulk_id", "folder")
+    return states.join(alone, "folder").select("folder", "pattern", "content_type", "state", "status")
+
+
+@query
+def inventory_folders(s: Study) -> DataFrame:
+    """Expected files of listed folders and of folders that have none."""
+    empty = s.supplier.select(F.concat(F.lit("empty_"), F.col("s_suppkey").cast("string")).alias("folder"))
+    return inventory.expected_files(s.file_listing, folders=empty)
+
+
+@query
+def gtf_genes_repeated(s: Study) -> DataFrame:
+    """Gene rows that come again under another name: the last one in the sequence counts."""
+    again = s.gtf_lines.select(F.replace("value", F.lit("GENE"), F.lit("LATE")).alias("value"), F.lit(2).alias("_seq"))
+    lines = again.unionByName(s.gtf_lines.withColumn("_seq", F.lit(1)))
+    return annotation.gtf_genes(annotation.gtf_records(lines, "_seq"), "_seq")
+
+
 @query
 def tss_enrichment(s: Study) -> DataFrame:
     return atac.tss_enrichment(atac.insertions(s.fragments), s.sites)

@@ -23,9 +23,22 @@ FRAGMENT_TYPES = ("fragments",)
 
 
 def glob_regex(pattern: str) -> str:
-    """Regular expression for a shell pattern with * and ?."""
-    parts = {"*": ".*", "?": "."}
-    return "^" + "".join(parts.get(c, f"\\Q{c}\\E") for c in pattern) + "$"
+    """Regular expression for a shell pattern with *, ?, [set] and [!set]; a bracket
+    without its end stands for itself."""
+    found, at = "", 0
+    while at < len(pattern):
+        c, at = pattern[at], at + 1
+        if c in "*?":
+            found += ".*" if c == "*" else "."
+            continue
+        negated = c == "[" and pattern[at:at + 1] == "!"
+        end = pattern.find("]", at + negated + 1) if c == "[" else -1
+        if end < 0:
+            found += f"\\Q{c}\\E"
+            continue
+        members = "".join(m if m.isalnum() or m == "-" else f"\\{m}" for m in pattern[at + negated:end])
+        found, at = found + f"[{'^' if negated else ''}{members}]", end + 1
+    return f"(?s)^{found}$"
 
 
 def _classes(category: str | None) -> list[tuple[Column, Column]]:

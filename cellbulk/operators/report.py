@@ -11,6 +11,8 @@ from cellbulk.operators.ranking import cumulative_counts, picks_at
 
 def to_long(frame: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """(ids, metric, value) rows of numeric columns, NULLs dropped."""
+    if not metrics:
+        return frame.select(*ids, F.lit("").alias("metric"), F.lit(0.0).alias("value")).where(F.lit(False))
     numeric = frame.select(*ids, *[F.col(f"`{m}`").cast("double").alias(m) for m in metrics])
     return numeric.unpivot(list(ids), list(metrics), "metric", "value").where(
         F.col("value").isNotNull())
@@ -132,6 +134,8 @@ def outliers(long: DataFrame, index: str, most: int = 5, group: Sequence[str] =
 
 def category_pct(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Share of each category per column, NULLs dropped."""
+    if not columns:
+        return frame.sparkSession.createDataFrame([], "metric string, category string, count long, pct double")
     text = frame.select([F.col(f"`{c}`").cast("string").alias(c) for c in columns])
     long = text.unpivot([], list(columns), "metric", "category").where(
         F.col("category").isNotNull())

@@ -501,9 +501,18 @@ WHERE (analysis_set_accession, barcode_sample) IN (
 GROUP BY 1, 2, 3"""
 O["assign_repeated"] = """SELECT DISTINCT analysis_set_accession, barcode_sample, concat(cell_name, ' again') AS cell_name FROM metadata"""
 O["scan_inputs"] = "SELECT * FROM counts"
+O["inventory_folders"] = O["inventory"].replace(
+    "(SELECT DISTINCT folder FROM file_listing) f",
+    "(SELECT folder FROM file_listing UNION SELECT concat('empty_', CAST(s_suppkey AS STRING)) FROM supplier) f")
+O["plan_inventory"] = """SELECT f.folder, c.pattern, c.content_type, CASE WHEN c.optional THEN 'absent' ELSE 'missing' END AS state,
+'right_only' AS status FROM (SELECT DISTINCT pseudobulk_id AS folder FROM cells) f
+CROSS JOIN (SELECT * FROM classes WHERE category = 'pseudobulk') c"""
+O["gtf_genes_repeated"] = f"SELECT * REPLACE (replace(gene_name, 'GENE', 'LATE') AS gene_name) FROM ({_GTF_GENE})"
 # A plan that is written and read back holds what its operators compute.
 for _plan, _same in {"plan_split_fragments": "barcode_qc", "plan_rna": "rna_cell_qc", "plan_call_peaks": "called_peaks",
-                     "plan_summary": "pseudobulk_summary", "plan_combine": "combined_cell_qc"}.items():
+                     "plan_summary": "pseudobulk_summary", "plan_combine": "combined_cell_qc",
+                     "plan_report_boxes": "box_stats", "plan_report_outliers": "outliers", "plan_report_categories": "category_pct",
+                     "plan_gene_info": "gtf_genes", "plan_tss": "gtf_tss"}.items():
     O[_plan] = O[_same]
 
 

@@ -30,12 +30,13 @@ def split_fragments(
     assignments_of(metadata, "_sequence" if "_sequence" in metadata.columns else None).write.mode("overwrite").parquet(paths["assignments"])
     assigned = spark.read.parquet(paths["assignments"])
 
-    fragments = checks.complete(fragments, ["contig", "frag_start", "frag_end"], "the fragments")
+    watch = checks.placed(fragments, ["contig", "frag_start", "frag_end"], "the fragments")
     sites = annotation.tss_sites(tss)
     bands = saved(atac.tss_band_weights(sites, half_window, half_smooth), "tss-bands")
-    counters = atac.barcode_counters(fragments, chrom_sizes, tss, half_window, half_smooth, bands=bands)
+    counters = atac.barcode_counters(watch.rows, chrom_sizes, tss, half_window, half_smooth, bands=bands)
     writers.write_partitioned(atac.barcode_qc(counters, assigned, half_smooth),
                               paths["atac_qc"], ["analysis_set_accession"])
+    watch.act(["exception"])
 
     # The whole profile, so that other smoothing and flanks can be tried afterwards.
     profile = atac.tss_profile(atac.insertions(fragments), sites, half_window=half_window)

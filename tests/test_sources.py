@@ -95,3 +95,45 @@ def test_rows_without_a_place_are_refused(spark):
     with pytest.raises(ValueError, match="1 rows of the tags"):
         checks.complete(frame, ["contig", "pos"], "the tags")
     assert checks.complete(frame, ["pos"], "the tags") is frame
+
+
+def test_a_watch_counts_while_rows_are_written(spark):
+    frame = spark.createDataFrame([("c1", 1), (None, 2), ("c2", None), ("c3", 4)], "contig string, pos long")
+    started = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    watch = checks.placed(frame, ["contig", "pos"], "the tags")
+    path = new_folder(spark, "watched")
+    watch.rows.write.parquet(path)
+    assert watch.counts() == {"without_contig_or_pos": 2}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == started + 1
+    assert not watch.act(["warning"]) and spark.read.parquet(path).count() == 4
+    with pytest.raises(ValueError, match="2 rows of the tags without contig or pos, for example"):
+        watch.act(["exception"])
+    fine = checks.placed(frame.na.drop(), ["contig", "pos"], "the tags")
+    fine.rows.write.parquet(new_folder(spark, "watched"))
+    assert fine.act(["exception"])
+
+
+def test_violations_are_made_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def costly(item):
+        seen.add(1)
+        return item
+
+    rows = spark.createDataFrame([("r", f"i{k}") for k in range(20)], "rule string, item string").repartition(3)
+    path = new_folder(spark, "sentinel")
+    assert not checks.act_on(rows.select("rule", costly("item").alias("item")), ["warning", "sentinel"], path)
+    assert seen.value == 20 and spark.read.parquet(path).count() == 20
+
+
+@pytest.mark.parametrize("pattern, fits, fails", [
+    ("a[0-9].tsv", ["a3.tsv"], ["ax.tsv", "a33.tsv"]), ("[!ab]*", ["cab", "^"], ["abc", "b"]), ("[]x]?", ["]y", "xz"], ["yz", "x"]),
+    ("a[b", ["a[b"], ["ab"]), ("[^a]", ["^", "a"], ["b"]), ("*.b?d", [".bed", "x\ny.bad"], ["bed", ".bd"]), ("[a\\]", ["a", "\\"], ["b"]),
+    ("[&&]x", ["&x"], ["x"])])
+def test_shell_patterns(spark, pattern, fits, fails):
+    import fnmatch
+
+    names = spark.createDataFrame([(n,) for n in fits + fails], "name string")
+    got = {r.name for r in names.where(F.col("name").rlike(inventory.glob_regex(pattern))).collect()}
+    assert got == set(fits) == {n for n in fits + fails if fnmatch.fnmatchcase(n, pattern)}

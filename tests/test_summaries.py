@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cellbulk.operators import report
 from cellbulk.operators.tracks import zoom_levels, zoom_view
+from cellbulk.plans import summary
 from cellbulk.session import new_folder
 from cellbulk.sources import readers, writers
 
@@ -87,3 +88,12 @@ def test_merged_sketches_keep_their_bound(spark):
     assert all(r.error < 0.01 for r in rows.values())
     assert rows["m", 0.0].value == values.agg(F.min("value")).first()[0] and rows["m", 0.25].value == 1.0
     assert rows["m", 1.0].value == values.agg(F.max("value")).first()[0] and rows["alone", 0.5].value == 3.0
+
+
+def test_reports_of_tables_with_one_kind_of_column(spark):
+    numbers = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "cell string, x double")
+    stats = summary.report_statistics(numbers, "cell")
+    assert stats["categories"].collect() == [] and stats["boxes"].first().n == 2
+    texts = spark.createDataFrame([("a", "u"), ("b", "v")], "cell string, x string")
+    stats = summary.report_statistics(texts, "cell")
+    assert stats["categories"].count() == 2 and stats["boxes"].collect() == [] and stats["outliers"].collect() == []
