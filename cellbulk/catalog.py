@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cellbulk import checks, schemas
 from cellbulk.adapters import GENOME_SIZE, Tables
 from cellbulk.functions import stats as S
-from cellbulk.operators import annotation, atac, inventory, peaks, qc, report, rna
+from cellbulk.operators import annotation, atac, inventory, peaks, qc, report, rna, sparse
 from cellbulk.operators.intervals import clip_to_contigs, genome_sorted
 from cellbulk.operators.tracks import coverage, overlay, zoom_levels
 from cellbulk.plans import atac as atac_plan
@@ -540,6 +540,26 @@ def rna_cell_qc(s: Study) -> DataFrame:
     return s.rna_qc
 
 
+def _sparse(s: Study) -> tuple[DataFrame, DataFrame]:
+    """The stored count matrix, one row per cell, and its gene dictionary."""
+    genes = s.gene_universe.unionByName(s.counts.select("analysis_set_accession", "gene_id"))
+    dictionary = saved(sparse.gene_dictionary(genes, s.gene_info), "gene-dictionary")
+    path = s.folder("matrix")
+    writers.write_partitioned(sparse.to_sparse(s.counts, dictionary), path, ["analysis_set_accession"])
+    return s.spark.read.parquet(path), dictionary
+
+
+@query
+def sparse_counts(s: Study) -> DataFrame:
+    """The long form of the stored matrix."""
+    return sparse.from_sparse(*_sparse(s))
+
+
+@query
+def sparse_cell_qc(s: Study) -> DataFrame:
+    return sparse.sparse_cell_qc(*_sparse(s), s.assignments)
+
+
 @query
 def rna_gene_qc(s: Study) -> DataFrame:
     return rna.rna_gene_qc(s.counts, s.counts.select(*atac.BARCODE).distinct())

@@ -508,6 +508,7 @@ O["plan_inventory"] = """SELECT f.folder, c.pattern, c.content_type, CASE WHEN c
 'right_only' AS status FROM (SELECT DISTINCT pseudobulk_id AS folder FROM cells) f
 CROSS JOIN (SELECT * FROM classes WHERE category = 'pseudobulk') c"""
 O["gtf_genes_repeated"] = f"SELECT * REPLACE (replace(gene_name, 'GENE', 'LATE') AS gene_name) FROM ({_GTF_GENE})"
+O["sparse_counts"], O["sparse_cell_qc"] = O["scan_counts"], O["rna_cell_qc"]
 # A plan that is written and read back holds what its operators compute.
 for _plan, _same in {"plan_split_fragments": "barcode_qc", "plan_rna": "rna_cell_qc", "plan_call_peaks": "called_peaks",
                      "plan_summary": "pseudobulk_summary", "plan_combine": "combined_cell_qc",
