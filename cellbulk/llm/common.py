@@ -50,3 +50,17 @@ def smallest_by_hash(rows: DataFrame, columns: list[str], most: int, count: int)
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def packed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of ``rows`` in one struct ``row``, next to columns of an operator's own:
+    so no name of either can clash with one of the other."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
+                       *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(frame: DataFrame, columns: Iterable[str], *added: str) -> DataFrame:
+    """The packed columns again, followed by ``added``, which take the place of packed
+    columns of their name."""
+    taken = {n.lower() for n in added}
+    return frame.select(*[F.col("row").getField(c).alias(c) for c in columns if c.lower() not in taken], *added)

@@ -21,7 +21,7 @@ ignored. Extra columns are ignored.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellbulk.llm.common import lower_ascii, text_of
+from cellbulk.llm.common import lower_ascii, packed, text_of, unpacked
 from cellbulk.session import saved
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -200,7 +200,7 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 def clean_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that hold no benchmark window."""
     dirty = contamination(docs, items, key, text).where("contaminated").select(
-        F.col(key).alias("_doc"), F.col("tag").alias("_dirty")).distinct()
-    own = docs.withColumn("_tag", F.xxhash64(text_of(text)))
-    return own.join(dirty, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_tag") == F.col("_dirty")),
-                    "left_anti").drop("_tag")
+        F.col(key).alias("dirty_doc"), F.col("tag").alias("dirty_tag")).distinct()
+    own = packed(docs, doc=F.col(key), tag=F.xxhash64(text_of(text)))
+    kept = own.join(dirty, F.col("doc").eqNullSafe(F.col("dirty_doc")) & (F.col("tag") == F.col("dirty_tag")), "left_anti")
+    return unpacked(kept, docs.columns)

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellbulk.llm.common import packed, unpacked
 from cellbulk.session import new_folder, saved
 
 BLOCK, RANGE_ROWS, CHUNK = 64, 4096, 500_000
@@ -152,16 +153,25 @@ def schedule(spark: SparkSession, names: list[str], groups: list[tuple[Sequence[
             return spark.read.schema(frame.schema).parquet(path)
 
 
-def with_positions(docs: DataFrame, weights: Mapping[str, float] | None = None, exponent: float = 0.5,
-                   key: str = "doc_id", source: str = "source", block: int = BLOCK,
-                   resolution: int | None = None, seed: int = 11) -> DataFrame:
-    """Adds mix_block, mix_slot and mix_position; rows in the order of mix_position are the mix."""
+PLACES = ("mix_block", "mix_slot", "mix_position")
+
+
+def with_positions(docs: DataFrame, **options) -> DataFrame:
+    """Adds mix_block, mix_slot and mix_position, in place of columns of these names; rows in
+    the order of mix_position are the mix."""
+    return unpacked(positions(docs, **options), docs.columns, *PLACES)
+
+
+def positions(docs: DataFrame, weights: Mapping[str, float] | None = None, exponent: float = 0.5,
+              key: str = "doc_id", source: str = "source", block: int = BLOCK,
+              resolution: int | None = None, seed: int = 11) -> DataFrame:
+    """Rows of ``docs`` packed as ``row``, with their places."""
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
     rows = docs.count()
     bits = max(0, math.ceil(math.log2(max(1, rows / RANGE_ROWS))))
     spread = F.xxhash64(F.col(key), F.lit(seed))
-    ranged = docs.withColumns({"_source": name, "_hash": spread,
-                               "_range": F.shiftrightunsigned(spread, 64 - bits) if bits else F.lit(0).cast("long")})
+    ranged = packed(docs, _source=name, _hash=spread, _tie=row_hash(docs),
+                    _range=F.shiftrightunsigned(spread, 64 - bits) if bits else F.lit(0).cast("long"))
     sizes = saved(ranged.groupBy(*SPOT).agg(F.count("*").alias("n")), "ranges")
     ahead = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = sizes.withColumn("offset", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
@@ -182,23 +192,22 @@ def with_positions(docs: DataFrame, weights: Mapping[str, float] | None = None,
     listed = blocks.join(plan, ["_source", "block"]).groupBy(*SPOT, F.col("offset").alias("_offset")).agg(
         F.array_sort(F.collect_list(F.struct("block", "slot"))).alias("_turns"))
     order = Window.partitionBy(*SPOT).orderBy("_hash", "_tie")
-    ranked = ranged.withColumn("_tie", row_hash(docs)).withColumn("_row", F.row_number().over(order) - 1)
+    ranked = ranged.withColumn("_row", F.row_number().over(order) - 1)
     placed = ranked.join(listed, SPOT).withColumn("_rank", F.col("_offset") + F.col("_row"))
     own = F.floor(F.col("_rank") / block)
     return placed.withColumns({
         "mix_block": own,
         "mix_slot": F.get("_turns", (own - F.floor(F.col("_offset") / block)).cast("int"))["slot"],
-    }).withColumn("mix_position", F.col("mix_slot") * block + F.col("_rank") % block).select(
-        *[F.col(c) for c in docs.columns], "mix_block", "mix_slot", "mix_position")
+    }).withColumn("mix_position", F.col("mix_slot") * block + F.col("_rank") % block).select("row", *PLACES)
 
 
 def row_hash(docs: DataFrame) -> Column:
     """Orders rows that share an id; only rows equal in all plain columns stay tied."""
     plain = ("string", "bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "binary")
-    return F.xxhash64(*[F.col(c) for c, kind in docs.dtypes if kind in plain] or [F.lit(0)])
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if kind in plain] or [F.lit(0)])
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, sorted by their place in the mix across and within partitions."""
-    placed = with_positions(docs, **options)
-    return placed.repartitionByRange("mix_position").sortWithinPartitions("mix_position").select(*docs.columns)
+    placed = positions(docs, **options)
+    return unpacked(placed.repartitionByRange("mix_position").sortWithinPartitions("mix_position"), docs.columns)

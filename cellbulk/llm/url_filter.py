@@ -6,7 +6,8 @@ JVM, with no Python on the executors.
 
 Defined results: a null URL, or one without ``://``, has empty host and path, fits no
 rule and gets the method's verdict. Repeated rows get one row each. Without a single
-labelled URL every URL that no rule fits is allowed. Extra columns are ignored.
+labelled URL every URL that no rule fits is allowed. Extra columns are carried along. A very
+long URL is judged whole.
 """
 
 from collections.abc import Sequence
@@ -18,7 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellbulk.llm.common import lower_ascii, smallest_by_hash
+from cellbulk.llm.common import lower_ascii, packed, smallest_by_hash, unpacked
 
 
 class Rule(NamedTuple):
@@ -106,12 +107,13 @@ def train(labelled: DataFrame, buckets: int = 1 << 13):
 
 def judge(urls: DataFrame, rules: Sequence[Rule], url: str = "url",
           labelled: DataFrame | None = None, buckets: int = 1 << 13) -> DataFrame:
-    """Adds host, path, rule, verdict and block_score (the method's probability of block).
+    """Adds host, path, rule, verdict and block_score (the method's probability of block),
+    in place of columns of these names.
 
     ``labelled`` is a table (host, path, label); left out, it is drawn from the URLs that
     the rules decide.
     """
-    parted = with_url_parts(urls, url).withColumn("_fit", matching_rule(rules))
+    parted = with_url_parts(packed(urls, url=F.col(url)), "url").withColumn("_fit", matching_rule(rules))
     judged = parted.withColumns({"rule": F.col("_fit.rule"), "block": F.col("_fit.block")}).drop("_fit")
     model = train(labelled_urls(judged) if labelled is None else labelled, buckets)
     if model is None:
@@ -120,5 +122,5 @@ def judge(urls: DataFrame, rules: Sequence[Rule], url: str = "url",
         scored = model.transform(hashed(judged, buckets)).withColumn(
             "block_score", vector_to_array("probability")[1] if model.numClasses > 1 else F.lit(0.0))
     blocked = F.coalesce(F.col("block"), F.col("block_score") >= 0.5)
-    return scored.withColumn("verdict", F.when(blocked, "block").otherwise("allow")).drop(
-        "block", "features", "rawPrediction", "probability", "prediction")
+    return unpacked(scored.withColumn("verdict", F.when(blocked, "block").otherwise("allow")),
+                    urls.columns, "host", "path", "rule", "verdict", "block_score")

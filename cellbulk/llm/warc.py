@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellbulk.llm.common import packed, unpacked
 from cellbulk.session import saved
 
 CRLF = "\r\n"
@@ -42,23 +43,23 @@ RECORD_SCHEMA = (
 
 def with_record_types(pages: DataFrame, payload: str = "html", key: str = "page_id",
                       least: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Adds payload_bytes, payload_digest, record_type and refers_to.
+    """Adds payload_bytes, payload_digest, record_type and refers_to, in place of columns of
+    these names.
 
     Only digests that occur twice are joined back, so the usual page is not shuffled.
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    known = pages.withColumns({
-        "payload_bytes": F.octet_length(body).cast("long"), "payload_digest": F.sha2(body, 256)})
+    known = packed(pages, page=F.col(key), payload_bytes=F.octet_length(body).cast("long"), payload_digest=F.sha2(body, 256))
     repeated = (
         known.where(F.col("payload_bytes") >= least).groupBy("payload_digest")
-        .agg(F.count("*").alias("_copies"), F.min(key).alias("_first"))
-        .where("_copies > 1 and _first is not null").drop("_copies")
+        .agg(F.count("*").alias("copies"), F.min("page").alias("first"))
+        .where("copies > 1 and first is not null").drop("copies")
     )
-    again = F.col("_first").isNotNull() & ~F.col(key).eqNullSafe(F.col("_first"))
-    return known.join(repeated, "payload_digest", "left").withColumns({
+    again = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
+    typed = known.join(repeated, "payload_digest", "left").withColumns({
         "record_type": F.when(again, "revisit").otherwise("response"),
-        "refers_to": F.when(again, F.col("_first")),
-    }).drop("_first")
+        "refers_to": F.when(again, F.col("first"))})
+    return unpacked(typed, pages.columns, "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def _uuid(kind: str, key: Column) -> Column:

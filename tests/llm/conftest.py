@@ -13,12 +13,13 @@ TEXTS = [
     (7, "same id twice", "en", "a"),
     (7, "same id, other text", "en", "c"),
 ]
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start long, wid string, tag int, slot int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start long, wid string, tag int, slot int, "
+SCHEMA += ", ".join(f"{name} int" for name in ("_doc", "_tag", "_source", "_hash", "_tie", "_rank", "mix_slot", "features", "_first", "row", "host"))
 
 
 @pytest.fixture(scope="session")
 def docs(spark):
-    rows = [(*r, len(r[1] or ""), i, "x", i, i) for i, r in enumerate(TEXTS)]
+    rows = [(*r, len(r[1] or ""), i, "x", *[i] * 13) for i, r in enumerate(TEXTS)]
     return spark.createDataFrame(rows, SCHEMA)
 
 

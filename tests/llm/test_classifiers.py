@@ -5,6 +5,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellbulk.llm import quality, toxicity, url_filter
 from cellbulk.llm.queries import QUERIES, URL_RULES
@@ -118,3 +119,26 @@ def test_url_model_agrees_with_the_rules_it_learned_from(spark):
     rows = [r for r in QUERIES["op10_url_filter"](spark, LARGE).collect() if r.rule]
     agree = sum((r.block_score >= 0.5) == (r.verdict == "block") for r in rows)
     assert agree / len(rows) >= 0.97
+
+
+def test_columns_of_any_name_survive_judging(docs):
+    judged = url_filter.judge(docs.withColumn("url", F.lit("http://a.com/x")), URL_RULES)
+    assert judged.columns == [c for c in docs.columns if c != "host"] + ["url", "host", "path", "rule", "verdict", "block_score"]
+    assert judged.select("features", "_tag").exceptAll(docs.select("features", "_tag")).isEmpty()
+    assert {r.host for r in judged.collect()} == {"a.com"}
+
+
+def test_quality_sees_whole_chunks():
+    encode = quality.encoder()
+    plain = encode("some plain words").tolist()
+    assert len(plain) == 3 and encode("").size == 0 and encode("- --").size == 2
+    han = "".join(chr(0x4E00 + i) for i in range(900))
+    assert len(set(encode(han).tolist())) > 800  # three letters at a time, none left out
+    glued = ",".join(f"word{i}" for i in range(300))
+    assert len(set(encode(glued).tolist())) >= 300
+    assert encode("x" * 1000 + "中文").size == len(quality.parts_of("x" * 1000)) + 1
+    for chunk in ("<b>" + "tag" * 20 + "</b>", "กข ฃ", "a中1" * 30, "!" * 99, "_" * 30):
+        pieces = [p for c in chunk.split() for p in quality.parts_of(c)]
+        assert set(chunk) - {" "} <= set("".join(pieces)) and max(map(len, pieces)) <= quality.LONG
+    late = "bad" * 40
+    assert encode("y" * 60 + late).tolist() != encode("y" * 60 + "good" * 30).tolist()

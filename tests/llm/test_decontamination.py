@@ -101,3 +101,11 @@ def test_matches_duckdb(spark, name):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     want, got = con.execute(ORACLES[name]).df(), QUERIES[name](spark, sf).toPandas()
     assert sorted(got.columns) == sorted(want.columns) and canonical(got) == canonical(want) and len(want)
+
+
+def test_columns_of_any_name_survive_cleaning(spark, docs):
+    items = spark.createDataFrame([("a", "the lazy dog near the river bank today")], "item_id string, text string")
+    kept = D.clean_documents(docs, items)
+    assert kept.columns == docs.columns
+    want = docs.where("coalesce(text, '') NOT LIKE '%lazy dog near%'")
+    assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty() and kept.count() < docs.count()

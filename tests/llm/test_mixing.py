@@ -92,3 +92,12 @@ def test_many_sources(spark, monkeypatch):
 def test_refused_weights(rows):
     with pytest.raises(ValueError):
         mixing.with_positions(rows, weights={"hot": -1.0})
+
+
+def test_columns_of_any_name_survive(docs):
+    kept = mixing.mixed(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+    placed = mixing.with_positions(docs)
+    assert placed.columns == [c for c in docs.columns if c != "mix_slot"] + ["mix_block", "mix_slot", "mix_position"]
+    assert placed.select("_source", "_hash", "_rank").exceptAll(docs.select("_source", "_hash", "_rank")).isEmpty()

@@ -74,3 +74,9 @@ def test_a_changed_payload_is_noticed():
         list(warc._record_batches("f", pa.py_buffer(head.encode() + block + b"\r\n\r\n"), True))
     with pytest.raises(ValueError, match="not a WARC"):
         list(warc.parse_warc(io.BytesIO(b"nonsense\r\n")))
+
+
+def test_columns_of_any_name_survive_typing(docs):
+    typed = warc.with_record_types(docs, payload="text", key="doc_id")
+    assert typed.columns == docs.columns + ["payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert typed.select(*docs.columns).exceptAll(docs).isEmpty() and typed.count() == docs.count()
