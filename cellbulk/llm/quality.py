@@ -1,7 +1,8 @@
 """Quality scores: random-indexing word vectors, pooled, and a two-layer network.
 
 A chunk of text between spaces is a word (its letters and digits, lower-cased) with a
-shape (case, digits, punctuation, run lengths cut to three). Both are hashed. Every
+shape (case, digits, punctuation, run lengths cut to three). Both are hashed. Chunks of more
+than ``LONG`` characters, and scripts without spaces, are read part by part. Every
 bucket has a sparse ternary index vector made from its number; the vector of a bucket
 is the sum of the index vectors met around it in the training texts. A document is
 pooled to the mean and spread of its word vectors, the mean of its shape vectors and the
@@ -14,6 +15,7 @@ of both kinds every score is 0.5; rows with null or repeated ids are scored like
 
 import re
 import zlib
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -29,28 +31,48 @@ FOLDS, HELD_OUT = 5, 0
 _RUN = re.compile(r"(.)\1{2,}", re.S)
 
 
+# Thai to Tibetan, Myanmar, Khmer, kana, Han: scripts that put no spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]+")
+LONG = 24  # longer chunks are read in parts
+_PARTS = re.compile(rf"{_UNSPACED.pattern}|(?:(?!{_UNSPACED.pattern[:-1]})\w){{1,{LONG}}}|[^\w\s]{{1,{LONG}}}")
+
+
 def _shape(chunk: str) -> str:
     kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in chunk)
-    return _RUN.sub(r"\1\1\1", kinds)[:12]
+    return _RUN.sub(r"\1\1\1", kinds)
+
+
+def parts_of(chunk: str) -> list[str]:
+    """The chunk itself; a long one, or one in a script without spaces, as its words, runs of
+    signs and three letters at a time, so that none of it goes unseen."""
+    if len(chunk) <= LONG and not _UNSPACED.search(chunk):
+        return [chunk]
+    found = []
+    for part in _PARTS.findall(chunk):
+        found += [part[i:i + 3] for i in range(max(1, len(part) - 2))] if _UNSPACED.match(part) else [part]
+    return found or [chunk]
 
 
 def encoder():
-    """Text to one number per chunk: word bucket and shape bucket in one."""
-    known: dict[str, int] = {}
+    """Text to one number per chunk or part of one: word bucket and shape bucket in one."""
+    known: dict[str, tuple[int, ...]] = {}
+
+    def code(part: str) -> int:
+        word = "".join(c for c in part if c.isalnum()).lower()
+        return (zlib.crc32(word.encode()) % WORDS) * SHAPES + zlib.crc32(_shape(part).encode()) % SHAPES
 
-    def code(chunk: str) -> int:
-        word = "".join(c for c in chunk if c.isalnum()).lower()
-        return (zlib.crc32(word.encode()) % WORDS) * SHAPES + zlib.crc32(_shape(chunk).encode()) % SHAPES
+    def codes(chunk: str) -> tuple[int, ...]:
+        return tuple(map(code, parts_of(chunk)))
 
     def encode(text: str) -> np.ndarray:
         chunks = text.split()
-        try:
-            return np.array([known[c] for c in chunks], np.int32)
-        except KeyError:
-            if len(known) > MEMORY:
-                known.clear()
-            known.update((c, code(c)) for c in set(chunks) if c not in known)
-            return np.array([known[c] for c in chunks], np.int32)
+        fresh = set(chunks).difference(known)
+        if len(known) + len(fresh) > MEMORY:
+            known.clear()
+            fresh = set(chunks)
+        known.update((c, codes(c)) for c in fresh if len(c) <= 4 * LONG)
+        found = (known[c] if len(c) <= 4 * LONG else codes(c) for c in chunks)
+        return np.fromiter(chain.from_iterable(found), np.int32)
 
     return encode
 
