@@ -9,7 +9,6 @@
 Stages 1 to 4 return the columns of ``documents``; the last returns the index rows.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +43,14 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def in_stored_order(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """The place of each row in the files it is read from, which the mixing stage wrote in
-    the order of the mix; rows that come from no file are ordered by their id."""
-    try:
-        return docs.select("*", F.col("_metadata.file_name").alias("_file"),
-                           F.col("_metadata.row_index").alias("_place")), ["_file", "_place"]
-    except AnalysisException:
+    the order of the mix, by the number of the part; rows that come from no file are ordered
+    by their id."""
+    if not docs.inputFiles():
         return docs, ["doc_id"]
+    file = F.col("_metadata.file_name")
+    number = F.regexp_extract(file, "part-([0-9]+)", 1).try_cast("long")
+    return docs.select("doc_id", "text", number.alias("_part"), file.alias("_file"),
+                       F.col("_metadata.row_index").alias("_place")), ["_part", "_file", "_place"]
 
 
 STAGES = [
