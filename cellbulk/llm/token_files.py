@@ -54,6 +54,33 @@ class WordEncoder(PieceMemory):
         return np.array(encoded.ids, self.kind).tobytes()
 
 
+class ListedWords(WordEncoder):
+    """Serialised ids of clean words, for a vocabulary whose words end in a token that says so.
+
+    New words are encoded as one list with spaces between them, and the ids are cut where a
+    word ends, so that no result is made for each word.
+    """
+
+    def __init__(self, tokenizer, memory: int):
+        super().__init__(tokenizer, memory)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        suffix = tokenizer.model.end_of_word_suffix
+        ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.ends = ends
+
+    def fresh(self, new: set[str]) -> dict:
+        found = {}
+        for run in by_bytes(new):
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0].ids, np.int64)
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
+            if len(stops) != len(run):  # a word without such a token, or one that holds a space
+                found |= super().fresh(set(run))
+                continue
+            whole, stops = ids.astype(self.kind).tobytes(), stops.tolist()
+            found.update(zip(run, [whole[a:b] for a, b in zip([0, *stops], stops)]))
+        return found
+
+
 class PieceEncoder(WordEncoder):
     """Serialised ids of texts, joined from those of their pieces.
 
@@ -66,16 +93,19 @@ class PieceEncoder(WordEncoder):
     def __init__(self, tokenizer, memory: int = MEMORY):
         super().__init__(tokenizer, memory)
         bare = without_splitting(tokenizer)
-        self.words = WordEncoder(bare, memory // 2) if bare else None
+        self.words = ListedWords(bare, memory // 2) if bare else None
 
     def fresh(self, new: set[str]) -> dict:
         if self.words is None:
             return super().fresh(new)
-        plain = [p for p in new if PLAIN.fullmatch(p) and "<|" not in p]
+        plain, other = [], []
+        for piece in new:
+            (plain if PLAIN.fullmatch(piece) and "<|" not in piece else other).append(piece)
         cut = [WORD.findall(p.lower()) for p in plain]
         known = self.words.known(cut)
-        found = {p: b"".join(map(known.__getitem__, own)) for p, own in zip(plain, cut)}
-        return found | super().fresh(new.difference(plain))
+        found = {p: known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for p, own in zip(plain, cut)}
+        found.update(super().fresh(other))
+        return found
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         if self.words is not None:
@@ -120,14 +150,17 @@ WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-
 
 
 def without_splitting(tokenizer):
-    """The same model for words already cleaned and split; None if it works otherwise."""
+    """The same model for words already cleaned and parted by spaces; None if it works otherwise."""
     from tokenizers import Tokenizer
 
     made = json.loads(tokenizer.to_str())
     steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
     if made["normalizer"] != CLEANING or steps[0].get("pattern") != {"Regex": SPLITTING} or len(steps) != 2:
         return None
-    return Tokenizer.from_str(json.dumps(made | {"normalizer": None, "pre_tokenizer": steps[1]}))
+    if not made["model"].get("end_of_word_suffix"):
+        return None
+    parted = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, steps[1]]}
+    return Tokenizer.from_str(json.dumps(made | {"normalizer": None, "pre_tokenizer": parted}))
 
 
 @lru_cache(maxsize=2)
@@ -158,8 +191,8 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, key: str, text: str)
     chosen = docs.where(spot & (F.octet_length(text) <= DICTIONARY_DOC_BYTES)).select(
         text_of(text).alias("text")).limit(2 * DICTIONARY_DOCS)
     samples = [bytes(r.ids) for r in chosen.mapInPandas(run, "ids binary").collect() if len(r.ids) >= 8]
-    if len(samples) < 64:
-        return b""
+    if len(samples) < 64:  # too few to train on: their own content, in a fixed order, is the dictionary
+        return b"".join(sorted(samples))[:DICTIONARY_BYTES]
     return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
 
 

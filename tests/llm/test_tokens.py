@@ -96,3 +96,15 @@ def test_another_dictionary_is_refused():
     dictionary = zstandard.train_dictionary(4096, samples).as_bytes()
     with pytest.raises(ValueError, match="dictionary"):
         token_files.opener(dictionary)(memoryview(b""), 2, 1, 5)
+
+
+def test_words_listed_together_have_their_own_ids():
+    tokenizer = TOKENIZERS[WORDS]
+    listed = token_files.ListedWords(token_files.without_splitting(tokenizer), 1000)
+    words = {"the", "th", "été", "ß", "x" * 300, "!", "'s", "7", "!?#", "zukeitpf", *(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500))}
+    found = listed.fresh(words)
+    assert {w: np.frombuffer(found[w], listed.kind).tolist() for w in words} == {
+        w: tokenizer.encode(w, add_special_tokens=False).ids for w in words}
+    assert listed.fresh(set()) == {}
+    spaced = listed.fresh({"a b", "c"})  # not a clean word: encoded one by one
+    assert np.frombuffer(spaced["a b"], listed.kind).tolist() == tokenizer.encode("a b", add_special_tokens=False).ids
