@@ -46,10 +46,9 @@ def read_region(spark: SparkSession, path: str, contig: str, start: int, end: in
     if pseudobulks is not None:
         manifest = manifest.where(F.col("pseudobulk_id").isin(list(pseudobulks)))
     files = [r.file for r in manifest.select("file").distinct().collect()]
-    schema = T.StructType([*schemas.FRAGMENT.fields, T.StructField("pseudobulk_id", T.StringType())])
     if not files:
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).option("sep", "\t").option("basePath", path).csv(files)
+        return spark.createDataFrame([], schemas.SORTED_FRAGMENT)
+    rows = spark.read.schema(schemas.SORTED_FRAGMENT).option("sep", "\t").option("basePath", path).csv(files)
     return rows.where((F.col("contig") == contig) & (F.col("frag_start") < end) & (F.col("frag_end") > start))
 
 

@@ -9,7 +9,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cellbulk import schemas
 from cellbulk.functions import genomics as G
@@ -69,8 +68,7 @@ def write_sorted_fragments(members: DataFrame, chrom_sizes: DataFrame, path: str
 def write_manifest(spark: SparkSession, path: str) -> None:
     """(file, pseudobulk_id, contig, first_start, largest_end, rows) of sorted fragment files,
     next to them. One scan; what it shuffles is a row per file and contig."""
-    schema = T.StructType([*schemas.FRAGMENT.fields, T.StructField("pseudobulk_id", T.StringType())])
-    rows = spark.read.schema(schema).csv(path, sep="\t").select(
+    rows = spark.read.schema(schemas.SORTED_FRAGMENT).csv(path, sep="\t").select(
         file_path(F.col("_metadata.file_path")).alias("file"), "pseudobulk_id", "contig", "frag_start", "frag_end")
     rows.groupBy("file", "pseudobulk_id", "contig").agg(
         F.min("frag_start").alias("first_start"), F.max("frag_end").alias("largest_end"),

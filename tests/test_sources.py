@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellbulk import checks, schemas
+from cellbulk.catalog import QUERIES
 from cellbulk.operators import inventory, ranking, report
 from cellbulk.session import discard, new_folder, saved, shared_dir
 from cellbulk.sources import checksums, readers
@@ -137,3 +138,10 @@ def test_shell_patterns(spark, pattern, fits, fails):
     names = spark.createDataFrame([(n,) for n in fits + fails], "name string")
     got = {r.name for r in names.where(F.col("name").rlike(inventory.glob_regex(pattern))).collect()}
     assert got == set(fits) == {n for n in fits + fails if fnmatch.fnmatchcase(n, pattern)}
+
+
+def test_queries_leave_the_layouts_as_they_are(spark):
+    before = schemas.FRAGMENT.names
+    rows = QUERIES["sort_fragments"](spark, "/root/testdata/sf0.001")
+    assert rows.columns == [*before, "pseudobulk_id"] and schemas.FRAGMENT.names == before
+    assert QUERIES["stream_barcode_qc"](spark, "/root/testdata/sf0.001").count() > 0
