@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cellbulk.operators import intervals
 from cellbulk.operators.intervals import heavy_bins, overlap_filter, overlap_flag, points_in_intervals
 from cellbulk.operators.ranking import top_n
 from cellbulk.operators.tracks import (
@@ -15,6 +16,7 @@ from cellbulk.operators.tracks import (
     number_islands,
     overlay_frames,
 )
+from cellbulk.session import saved, saved_bytes
 
 ROW = "contig string, start long, end long, id long"
 
@@ -214,3 +216,27 @@ def test_top_n(spark, n):
     got = top_n(spark.createDataFrame(rows, "g string, s double, i long"), ["g"], "s", n, ["i"])
     want = [r for g in "ab" for r in sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))[:n]]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_any_overlap_on_all_levels(spark):
+    """Lengths from one base to far beyond the coarsest bins, against a nested loop."""
+    pick = random.Random(7)
+    a = [("c", s, s + n) for n in (1, 8, 9, 16, 17, 64, 65, 500, 513, 4000, 30_000, 300_000) for s in
+         (pick.randrange(2_000_000) for _ in range(25))]
+    b = [("c", s, s + pick.choice((0, 1, 3, 40, 900))) for s in (pick.randrange(2_000_000) for _ in range(40))]
+    fa, fb = (spark.createDataFrame(r, "contig string, s long, e long").withColumnsRenamed(n)
+              for r, n in ((a, {}), (b, {"s": "bs", "e": "be"})))
+    want = sorted(r for r in a if any(min(r[2], x[2]) > max(r[1], x[1]) for x in b))
+    for levels in (None, intervals.levels_of(fa, "s", "e", width=8)):
+        got = intervals.overlap_filter(fa, "s", "e", fb, "bs", "be", ["contig"], width=8, levels=levels)
+        assert sorted(tuple(r) for r in got.collect()) == want and 20 < len(want) < 280
+
+
+def test_partners_stay_few_and_plain(spark):
+    b = spark.range(20_000).select(F.lit("c").alias("contig"), F.col("id").alias("s"), (F.col("id") + 1).alias("e"))
+    rows = intervals._partners(b, "s", "e", ["contig"], 64, True)
+    assert rows.where("_level > 1").count() < 3000  # it was every row on every level
+    only = intervals._partners(b, "s", "e", ["contig"], 64, False, [0])
+    assert only.select("_level").distinct().collect() == [(0,)] and only.count() < 2 * 20_000
+    same = saved(spark.range(200_000).select(F.lit("annotation_1-SM1").alias("p"), F.lit(1 << 40).alias("n")), "x", plain=True)
+    assert saved_bytes(same) > 200_000 * 24
