@@ -142,3 +142,16 @@ def test_quality_sees_whole_chunks():
         assert set(chunk) - {" "} <= set("".join(pieces)) and max(map(len, pieces)) <= quality.LONG
     late = "bad" * 40
     assert encode("y" * 60 + late).tolist() != encode("y" * 60 + "good" * 30).tolist()
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word met only beyond the rows of the first pass, and only late in long texts."""
+    texts = [(i, f"we met {'idiot' if i % 2 else 'friend'} near the river on day {i}") for i in range(300)]
+    texts += [(i, " ".join(["plain words again"] * 1200) + (" zorbag" if i % 2 else " velmon")) for i in range(300, 420)]
+    frame = spark.createDataFrame(texts + [(1000, "a zorbag"), (1001, "a velmon")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels, warm=60, shard=60, rounds=6)
+    low, high = toxicity.scorer(model)()(["a velmon", "a zorbag"])
+    assert high > low + 0.2 and high > 0.5
+    again = toxicity.fit(frame, labels, warm=60, shard=60, rounds=6)
+    assert np.allclose(again.table, model.table, atol=1e-6) and again.thresholds == model.thresholds
