@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellbulk.operators.peaks import scored_segments
-from cellbulk.operators.tracks import coverage, window_depths
+from cellbulk.operators.tracks import coverage, overlay, window_depths
 
 ROWS = [("a", 10_000 * i, 2) for i in range(1, 9)]  # one run over eight windows
 ROWS += [("a", 300_000, 1), ("b", 0, 3), ("b", 0, 1), ("b", 4096, 1), ("b", 12_288, 5), ("c", 5, 7)]
@@ -40,3 +40,12 @@ def test_segments_shuffle_points_and_not_their_edges(spark):
 
 def test_no_points(spark):
     assert window_depths(spark.createDataFrame([], "contig string, pos long, n long"), "pos", "n", {"d": 3}).collect() == []
+
+
+def test_overlay_shuffles_runs_and_not_their_ends(spark):
+    track = spark.createDataFrame([("c", r, 10 * i, 10 * i + 9, float(i)) for i in range(50) for r in "ab"],
+                                  "contig string, rep string, start long, end long, value double")
+    found = overlay(track, "rep", ["a", "b"], tile=64)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("RepartitionByExpression")  # above it, so after the exchange
+    assert [(r.start, r.end) for r in found.orderBy("start").collect()] == [(10 * i, 10 * i + 9) for i in range(50)]
