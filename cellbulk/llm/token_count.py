@@ -69,6 +69,14 @@ class PieceMemory:
         self.young.update(self.fresh(missing.difference(seen)))
         return self.young
 
+    def values(self, distinct: list[str]) -> list:
+        """A value for each of ``distinct``; young pieces are looked up once."""
+        found = list(map(self.young.get, distinct))
+        if missing := [p for p, v in zip(distinct, found) if v is None]:
+            known = self.known([missing])
+            found = [known[p] if v is None else v for p, v in zip(distinct, found)]
+        return found
+
     def fresh(self, new: set[str]) -> dict:
         found = {}
         for run in by_bytes(new):

@@ -86,67 +86,96 @@ class PieceEncoder(WordEncoder):
 
     Pieces begin at spaces that follow a non-space character. Both kinds of vocabulary
     here split there whatever stands around, so ids of pieces join to ids of the text.
-    A new piece of plain letters is cut further into the words that a vocabulary with
-    word ends splits it into, so that few words ever reach the tokenizer.
+    Pieces of plain letters are cut further into the words that a vocabulary with word
+    ends splits them into. Then only the words are remembered, which are far fewer, and the
+    pieces of a run of texts are made from them anew.
     """
 
     def __init__(self, tokenizer, memory: int = MEMORY):
-        super().__init__(tokenizer, memory)
         bare = without_splitting(tokenizer)
+        super().__init__(tokenizer, memory // 4 if bare else memory)
         self.words = ListedWords(bare, memory // 2) if bare else None
 
-    def fresh(self, new: set[str]) -> dict:
-        if self.words is None:
-            return super().fresh(new)
-        plain, other = [], []
-        for piece in new:
-            (plain if PLAIN.fullmatch(piece) and "<|" not in piece else other).append(piece)
-        cut = [WORD.findall(p.lower()) for p in plain]
-        known = self.words.known(cut)
-        found = {p: known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own)) for p, own in zip(plain, cut)}
-        found.update(super().fresh(other))
-        return found
-
-    def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
+    def encode(self, texts: Sequence[str] | pa.Array) -> Iterator[bytes]:
         if self.words is not None:
-            for run in by_bytes(texts, RUN):
-                yield from self.gathered(run)
+            held = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+            for start, stop in runs_of(held):
+                yield from self.gathered(held.slice(start, stop - start))
             return
-        for run in by_bytes(texts):
+        for run in by_bytes(texts.to_pylist() if isinstance(texts, pa.Array) else texts):
             cut = [pieces(text) for text in run]
             known = self.known(cut)
             for own in cut:
                 yield b"".join(map(known.__getitem__, own))
 
-    def gathered(self, run: list[str]) -> Iterator[bytes]:
+    def gathered(self, run: pa.Array) -> Iterator[bytes]:
         """Ids of a run of texts, for a vocabulary with word ends: it drops white space, so
         any space or line break parts the text. Arrow splits the run and numbers its
         distinct parts; only those are looked up, and their ids are gathered by number."""
-        parts = pc.split_pattern(pa.array([t.replace("\n", " ") for t in run], pa.large_string()), " ")
+        parts = pc.split_pattern(pc.replace_substring(run.cast(pa.large_string()), "\n", " "), " ")
         numbered = parts.flatten().dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()
-        known = self.known([distinct])
-        values = list(map(known.__getitem__, distinct))
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
-        begin, number = np.cumsum(sizes) - sizes, numbered.indices.to_numpy()
-        held = sizes[number]
-        upto = np.cumsum(held)
-        spots = np.repeat((begin[number] - (upto - held)).astype(np.int32), held)
-        spots += np.arange(len(spots), dtype=np.int32)
-        ids = np.frombuffer(b"".join(values), self.kind)[spots]
-        stops = np.concatenate([[0], upto])[parts.offsets.to_numpy()]
+        ids, upto = picked(*self.of_pieces(numbered.dictionary), numbered.indices.to_numpy())
+        stops = upto[parts.offsets.to_numpy()]
         for start, stop in zip(stops[:-1].tolist(), stops[1:].tolist()):
             yield ids[start:stop].tobytes()
 
+    def of_pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of the pieces, and where those of each piece begin and how many they are."""
+        odd = pc.match_substring_regex(distinct, ODD)
+        ids, sizes = self.of_plain(distinct.filter(pc.invert(odd)))
+        rest, rest_sizes = self.flat(self.values(distinct.filter(odd).to_pylist()))
+        held, which = np.empty(len(distinct), np.int64), odd.to_numpy(zero_copy_only=False)
+        held[~which], held[which] = sizes, rest_sizes
+        begin = np.empty(len(distinct), np.int64)
+        begin[~which], begin[which] = np.cumsum(sizes) - sizes, np.cumsum(rest_sizes) - rest_sizes + len(ids)
+        return np.concatenate([ids, rest]), begin, held
+
+    def of_plain(self, plain: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain pieces in a row, and how many each has: one search cuts them all
+        into words, a line break ending each piece."""
+        if not len(plain):
+            return self.flat([])
+        row = "\n".join(plain.to_numpy(zero_copy_only=False).tolist()).lower() + "\n"
+        words = pa.array(ENDED.findall(row), pa.large_string()).dictionary_encode()
+        distinct, number = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        end = distinct.index("\n")
+        values = self.words.values(distinct[:end] + distinct[end + 1:])
+        ids, sizes = self.flat([*values[:end], b"", *values[end:]])
+        ids, upto = picked(ids, np.cumsum(sizes) - sizes, sizes, number)
+        return ids, np.diff(upto[1:][number == end], prepend=0)
+
+    def flat(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.kind.itemsize
+        return np.frombuffer(b"".join(values), self.kind), sizes
+
+
+def picked(ids: np.ndarray, begin: np.ndarray, sizes: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the numbered pieces in that order, and how many there are before each and in all."""
+    held = sizes[number]
+    upto = np.concatenate([[0], np.cumsum(held)])
+    spots = np.repeat((begin[number] - upto[:-1]).astype(np.int32), held)
+    spots += np.arange(len(spots), dtype=np.int32)
+    return ids[spots], upto
+
+
+def runs_of(texts: pa.Array, limit: int = RUN) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of consecutive texts that begin within ``limit`` bytes of each other."""
+    begin = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(begin[:-1], begin[start] + limit)))
+        yield start, stop
+        start = stop
+
 
 # How the vocabulary with word ends cleans and splits text. For ASCII and
-# Latin-1 letters PLAIN and WORD say the same: such text is its own NFC form and each
-# letter has one lower-case letter.
+# Latin-1 letters, which are not ODD, ENDED says the same: such text is its own NFC form and
+# each letter has one lower-case letter. ENDED takes line breaks, the ends of pieces, too.
 CLEANING = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLITTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = re.compile(r"[\n\t -~À-ÖØ-öø-ÿ]*")
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+ODD = r"[^\t -~À-ÖØ-öø-ÿ]|<\|"
+ENDED = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+|\n")
 
 
 def without_splitting(tokenizer):
@@ -213,20 +242,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         [(format(hash_of(dictionary), "016x"), bytearray(dictionary))], "hash string, dictionary binary"
     ).coalesce(1).write.parquet(f"{path}/dictionary")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(tokenizer_path)
         given = _opened(dictionary)
         packer = zstandard.ZstdCompressor(level=level, **({"dict_data": given} if given else {}))
         width, end = encoder.kind.itemsize, np.array([end_id], encoder.kind).tobytes()
-        for batch in batches:
-            keys, nulls = batch["key"].fillna(0).astype("int64"), batch["key"].isna()
-            records = []
-            for doc_id, null, ids in zip(keys, nulls, encoder.encode(batch["text"].tolist())):
-                ids += end
-                frame = packer.compress(ids)
-                records.append(struct.pack(HEADER, MAGIC, HEADER_BYTES - 8, KIND, width, int(null), doc_id,
-                                           hash_of_dictionary, len(ids) // width, len(frame)) + frame)
-            yield pd.DataFrame({"value": records})
+        for whole in batches:
+            # A run at a time, so that a batch is not held a second and third time.
+            for batch in (whole.slice(a, b - a) for a, b in runs_of(whole.column("text"))):
+                keys, nulls = batch.column("key").fill_null(0).to_pylist(), batch.column("key").is_null().to_pylist()
+                records = []
+                for doc_id, null, ids in zip(keys, nulls, encoder.encode(batch.column("text"))):
+                    ids += end
+                    frame = packer.compress(ids)
+                    records.append(struct.pack(HEADER, MAGIC, HEADER_BYTES - 8, KIND, width, int(null), doc_id,
+                                               hash_of_dictionary, len(ids) // width, len(frame)) + frame)
+                yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["value"])
 
     hash_of_dictionary = hash_of(dictionary)
     keys = list(order or [key])
@@ -234,7 +265,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                        F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
     sort = [f"_o{i}" for i in range(len(keys))]
     dealt = rows.repartitionByRange(*sort).sortWithinPartitions(*sort, "text").select("key", "text")
-    (dealt.mapInPandas(run, "value binary").select(F.col("value").cast("string"))
+    (dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
      .write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", docs_per_file).text(f"{path}/shards"))
 
 
