@@ -51,20 +51,26 @@ def training_codes(docs: DataFrame, labels: DataFrame, label: str, held_out: Col
 
 
 def all_codes(docs: DataFrame, labels: DataFrame, label: str, held_out: Column,
-              encode: Callable[[], Callable[[str], np.ndarray]], key: str = "doc_id", text: str = "text") -> tuple[DataFrame, float]:
+              encode: Callable[[], Callable[[str], np.ndarray]], kind: str, key: str = "doc_id",
+              text: str = "text") -> tuple[DataFrame, float]:
     """((id, label, lang, codes) of every labelled document of the training folds, whole; share
-    of label 1 among all rows of these folds). A repeated id takes its largest label."""
+    of label 1 among all rows of these folds). A repeated id takes its largest label.
+
+    Codes are stored as numpy's ``kind``. Labels grow with the documents, so they are never
+    broadcast; texts of the held-out folds are left out before the shuffle.
+    """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(
         F.max(label).cast("int").alias("_label")).where(~held_out)
     counted = known.agg(F.count("*").alias("n"), F.sum("_label").alias("ones")).first()
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(key, text_of(text).alias("_text"), lang.alias("_lang")).join(saved(known, "labelled"), key)
+    rows = docs.where(F.col(key).isNotNull() & ~held_out).select(key, text_of(text).alias("_text"), lang.alias("_lang")).join(
+        saved(known, "labelled").hint("merge"), key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coded = encode()
         for batch in batches:
             yield pd.DataFrame({"id": batch[key].astype("int64"), "label": batch["_label"], "lang": batch["_lang"],
-                                "codes": [coded(t).astype("<i4").tobytes() for t in batch["_text"]]})
+                                "codes": [coded(t).astype(kind).tobytes() for t in batch["_text"]]})
 
     found = saved(rows.mapInPandas(run, "id long, label int, lang string, codes binary"), "training")
     return found, (counted.ones or 0) / max(1, counted.n)

@@ -35,6 +35,7 @@ BUCKETS, DIMS, FILTERS, WIDTHS, MEMORY = 1 << 16, 16, 8, (1, 2, 3), 300_000
 FOLDS, HELD_OUT = 4, 2
 WARM, SHARD, ROUNDS, BLOCKS = 6000, 10_000, 2, 64
 PAD = max(WIDTHS) - 1
+CODES = "<u2"  # holds every bucket
 # Thai to Tibetan, Myanmar, Khmer, kana, Han
 _UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 _UNSPACED_RUN = re.compile(f"[{_UNSPACED}]+")
@@ -277,7 +278,7 @@ def best_temperature(raw: DataFrame) -> float:
 
 
 def code_column(batch) -> list[np.ndarray]:
-    return [np.frombuffer(c, "<i4").reshape(-1, 3) for c in batch["codes"]]
+    return [np.frombuffer(c, CODES).astype(np.int32).reshape(-1, 3) for c in batch["codes"]]
 
 
 def improved(rows: DataFrame, state: State, shards: int) -> State:
@@ -327,7 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         encode = encoder()
         return lambda value: encode(value).ravel()
 
-    coded, share = labelled.all_codes(docs, labels, "toxic", held, flat, key=key, text=text)
+    coded, share = labelled.all_codes(docs, labels, "toxic", held, flat, CODES, key, text)
     spot = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(100))
     known = coded.agg(F.count("*").alias("n"), F.sum("label").alias("ones"), F.count_if(spot >= 15).alias("kept"),
                       F.count_distinct(F.when(spot >= 15, F.col("label"))).alias("kinds")).first()

@@ -155,3 +155,15 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert high > low + 0.2 and high > 0.5
     again = toxicity.fit(frame, labels, warm=60, shard=60, rounds=6)
     assert np.allclose(again.table, model.table, atol=1e-6) and again.thresholds == model.thresholds
+
+
+def test_training_codes_take_two_bytes_a_bucket_and_held_out_texts_are_not_joined(spark):
+    from cellbulk.llm import labelled
+    docs = spark.createDataFrame([(i, "one two three", "en") for i in range(40)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    held = toxicity.fold_of(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT
+    coded, _ = labelled.all_codes(docs, labels, "toxic", held, lambda: lambda t: toxicity.encoder()(t).ravel(), toxicity.CODES)
+    rows = coded.collect()
+    assert {len(r.codes) for r in rows} == {3 * 3 * 2}
+    assert sorted(r.id for r in rows) == [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert [c.tolist() for c in toxicity.code_column({"codes": [rows[0].codes]})] == [toxicity.encoder()("one two three").tolist()]
