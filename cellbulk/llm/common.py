@@ -2,6 +2,9 @@
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,16 @@ def by_bytes(texts: Iterable[str], limit: int = 1 << 18) -> Iterator[list[str]]:
         yield run
 
 
+def runs_of(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of consecutive texts that begin within ``limit`` bytes of each other."""
+    begin = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))])
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(begin[:-1], begin[start] + limit)))
+        yield start, stop
+        start = stop
+
+
 def smallest_by_hash(rows: DataFrame, columns: list[str], most: int, count: int) -> DataFrame:
     """The ``most`` rows with the smallest hash of ``columns``, of ``count`` rows or so.
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellbulk.llm import labelled
-from cellbulk.llm.common import by_bytes, fold_of
+from cellbulk.llm.common import by_bytes, fold_of, runs_of
 
 WORDS, SHAPES, DIMS, WINDOW, MEMORY = 1 << 15, 1 << 10, 32, 2, 300_000
 FOLDS, HELD_OUT = 5, 0
@@ -211,8 +211,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, cut: float = 0.3, key: str = "
 
     def run(batches):
         judge = scorer(model)()
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(place).to_pylist()]
-            yield batch.filter(pa.array(judge(texts) >= cut))
+        for whole in batches:
+            for batch in (whole.slice(a, b - a) for a, b in runs_of(whole.column(place), 1 << 20)):
+                texts = ["" if t is None else t for t in batch.column(place).to_pylist()]
+                yield batch.filter(pa.array(judge(texts) >= cut))
 
     return docs.mapInArrow(run, docs.schema)

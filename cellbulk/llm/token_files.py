@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellbulk.llm.common import by_bytes, text_of
+from cellbulk.llm.common import by_bytes, runs_of, text_of
 from cellbulk.llm.token_count import MEMORY, PieceMemory, loaded, pieces
 
 HEADER = "<II4sBBxxqQII"
@@ -99,7 +99,7 @@ class PieceEncoder(WordEncoder):
     def encode(self, texts: Sequence[str] | pa.Array) -> Iterator[bytes]:
         if self.words is not None:
             held = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
-            for start, stop in runs_of(held):
+            for start, stop in runs_of(held, RUN):
                 yield from self.gathered(held.slice(start, stop - start))
             return
         for run in by_bytes(texts.to_pylist() if isinstance(texts, pa.Array) else texts):
@@ -158,16 +158,6 @@ def picked(ids: np.ndarray, begin: np.ndarray, sizes: np.ndarray, number: np.nda
     return ids[spots], upto
 
 
-def runs_of(texts: pa.Array, limit: int = RUN) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of consecutive texts that begin within ``limit`` bytes of each other."""
-    begin = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
-    start = 0
-    while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(begin[:-1], begin[start] + limit)))
-        yield start, stop
-        start = stop
-
-
 # How the vocabulary with word ends cleans and splits text. For ASCII and
 # Latin-1 letters, which are not ODD, ENDED says the same: such text is its own NFC form and
 # each letter has one lower-case letter. ENDED takes line breaks, the ends of pieces, too.
@@ -249,7 +239,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         width, end = encoder.kind.itemsize, np.array([end_id], encoder.kind).tobytes()
         for whole in batches:
             # A run at a time, so that a batch is not held a second and third time.
-            for batch in (whole.slice(a, b - a) for a, b in runs_of(whole.column("text"))):
+            for batch in (whole.slice(a, b - a) for a, b in runs_of(whole.column("text"), RUN)):
                 keys, nulls = batch.column("key").fill_null(0).to_pylist(), batch.column("key").is_null().to_pylist()
                 records = []
                 for doc_id, null, ids in zip(keys, nulls, encoder.encode(batch.column("text"))):

@@ -108,3 +108,10 @@ def test_words_listed_together_have_their_own_ids():
     assert listed.fresh(set()) == {}
     spaced = listed.fresh({"a b", "c"})  # not a clean word: encoded one by one
     assert np.frombuffer(spaced["a b"], listed.kind).tolist() == tokenizer.encode("a b", add_special_tokens=False).ids
+
+
+def test_pieces_of_plain_words_are_not_remembered():
+    encoder = token_files.PieceEncoder(TOKENIZERS[WORDS])
+    texts = ["Don't stop, (word) 12", "", "日本 mixed text\nWord", "a\tb  c"]
+    assert [np.frombuffer(i, "<u2").tolist() for i in encoder.encode(texts)] == [ids(WORDS, t) for t in texts]
+    assert set(encoder.young) == {"日本"}
