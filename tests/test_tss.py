@@ -47,3 +47,22 @@ def test_band_weights_equal_profile_enrichment(spark):
     got = {r.barcode_sample: (r.c, r.f) for r in met.groupBy("barcode_sample").agg(
         F.sum("center").alias("c"), F.sum("flank").alias("f")).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("heavy_rows", [10, 10_000])
+def test_profile_equals_pairs_and_shuffles_no_row_per_slot(spark, heavy_rows):
+    """Whether or not some barcode is heavy; a third of the sites lies twice."""
+    sites = spark.range(900).select(F.lit("chr1").alias("contig"), (F.col("id") % 600 * 17 - 300).alias("tss0"),
+                                    F.when(F.col("id") % 2 == 0, 1).otherwise(-1).cast("long").alias("strand"))
+    points = spark.range(60).select(F.lit("A").alias("analysis_set_accession"), F.lit("chr1").alias("contig"),
+                                    F.concat(F.lit("B"), F.floor(F.sqrt("id")).cast("string")).alias("barcode_sample"),
+                                    (F.col("id") * 211 - 500).alias("pos"))
+    pairs = atac.tss_pairs(points, sites)
+    want = pairs.groupBy(*atac.BARCODE, "slot").agg(F.count("*").alias("n"))
+    got = atac.tss_profile(points, sites, heavy_rows=heavy_rows)
+    assert got.schema == want.schema and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert atac.tss_slots(points, sites).count() <= 60 < pairs.count()
+    known = spark.createDataFrame([("A", f"B{i}", f"p{i % 2}") for i in range(6)], [*atac.BARCODE, "pseudobulk_id"])
+    summed = atac.tss_profile_of_pseudobulks(points, sites, known)
+    kept = atac.tss_profile_pseudobulk(want, known)
+    assert summed.exceptAll(kept).isEmpty() and kept.exceptAll(summed).isEmpty()
