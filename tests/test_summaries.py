@@ -97,3 +97,19 @@ def test_reports_of_tables_with_one_kind_of_column(spark):
     texts = spark.createDataFrame([("a", "u"), ("b", "v")], "cell string, x string")
     stats = summary.report_statistics(texts, "cell")
     assert stats["categories"].count() == 2 and stats["boxes"].collect() == [] and stats["outliers"].collect() == []
+
+
+def test_summary_plan_gets_stored_tables(spark, monkeypatch):
+    from cellbulk import catalog
+    given = []
+
+    def stop(spark, assignments, atac_qc, rna_qc, expression, frip, output):
+        given.extend([atac_qc, rna_qc, frip])
+        raise InterruptedError
+
+    monkeypatch.setattr(catalog.summary_plan, "summarize_pseudobulks", stop)
+    try:
+        catalog.QUERIES["plan_summary"](spark, "/root/testdata/sf0.001")
+    except InterruptedError:
+        pass
+    assert len(given) == 3 and not any("lineitem" in f for frame in given for f in frame.inputFiles())
