@@ -2,11 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cellbulk.functions import depths
 from cellbulk.operators.peaks import scored_segments
-from cellbulk.operators.tracks import coverage, overlay, window_depths
+from cellbulk.operators.tracks import coverage, depth_zooms, overlay, window_depths, zoom_levels
 
 ROWS = [("a", 10_000 * i, 2) for i in range(1, 9)]  # one run over eight windows
 ROWS += [("a", 300_000, 1), ("b", 0, 3), ("b", 0, 1), ("b", 4096, 1), ("b", 12_288, 5), ("c", 5, 7)]
@@ -29,6 +31,35 @@ def test_window_depths_equal_coverage(spark, tile):
     assert [tuple(r) for r in alone.collect()] == [("a", 5000, 85_000, 2)]
 
 
+@pytest.mark.parametrize("tile", [1 << 6, 1 << 12, 1 << 20])
+def test_depth_zooms_equal_zooms_of_the_runs(spark, tile):
+    points = spark.createDataFrame(ROWS, "contig string, pos long, n long")
+    want = zoom_levels(window_depths(points, "pos", "n", {"d": 150}), value="d", finest=4, levels=8)
+    got = depth_zooms(points, "pos", "n", 150, finest=4, levels=8, tile=tile)
+    assert got.columns == want.columns and got.dtypes == want.dtypes and got.count() == want.count() > 130
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert depth_zooms(points.limit(0), "pos", "n", 150).collect() == []
+    with pytest.raises(ValueError):
+        depth_zooms(points, "pos", "n", 150, finest=13, tile=1 << 12)
+
+
+def test_depth_zooms_shuffle_points_and_not_their_runs(spark):
+    points = spark.createDataFrame(ROWS, "contig string, pos long, n long")
+    plan = depth_zooms(points, "pos", "n", 150, levels=8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "Aggregate" not in plan
+    assert plan.index("FlatMapGroupsInArrow") < plan.index("RepartitionByExpression") < plan.index("Generate")
+
+
+def test_groups_that_share_a_number_are_told_apart():
+    schema = pa.schema([("contig", pa.string()), ("level", pa.int32()), ("window", pa.int64()), ("value_sum", pa.float64()),
+                        ("min_value", pa.float64()), ("max_value", pa.float64()), ("covered", pa.int64())])
+    run = depths.windows_in_slice(["contig"], 4, 64, True, [3, 6], schema)
+    mixed = pa.table({"contig": ["a", "b", "a"], "_tile": [0, 0, 1], "_at": [2, 2, 66], "_n": [1, 2, 3]})
+    assert sorted(tuple(r.values()) for r in run(mixed).to_pylist()) == [
+        ("a", 3, 0, 4, 1, 1, 4), ("a", 3, 8, 12, 3, 3, 4), ("a", 6, 0, 4, 1, 1, 4), ("a", 6, 1, 12, 3, 3, 4),
+        ("b", 3, 0, 8, 2, 2, 4), ("b", 6, 0, 8, 2, 2, 4)]
+
+
 def test_segments_shuffle_points_and_not_their_edges(spark):
     counts = spark.createDataFrame([("x", r, "chr1", 1000 * i, 1) for i in range(2000) for r in ("t", "1")],
                                    "pseudobulk_id string, rep string, contig string, pos long, n long")
