@@ -23,7 +23,8 @@ def split_fragments(
     """Write barcode QC, split streams and sorted fragments of all accessions.
 
     Returns the written folders. ``members``, the annotated fragments with their
-    replicate, is the table the peak plan starts from.
+    replicate, is the table the peak plan starts from. ``tss_profile`` holds lists per barcode,
+    which ``readers.load_atac_qc`` gives back as rows.
     """
     paths = {name: f"{output}/{name}" for name in (
         "assignments", "atac_qc", "tss_profile", "tss_profile_pseudobulk", "members", "streams", "sorted_fragments")}
@@ -38,10 +39,12 @@ def split_fragments(
                               paths["atac_qc"], ["analysis_set_accession"])
     watch.act(["exception"])
 
-    # The whole profile, so that other smoothing and flanks can be tried afterwards.
-    profile = atac.tss_profile(atac.insertions(fragments), sites, half_window=half_window)
-    writers.write_partitioned(profile, paths["tss_profile"], ["analysis_set_accession"])
-    atac.tss_profile_pseudobulk(spark.read.parquet(paths["tss_profile"]), assigned).write.mode(
+    # The whole profile, so that other smoothing and flanks can be tried afterwards. It is written
+    # as the tasks that make it hold it, a row with lists per barcode.
+    points = atac.insertions(fragments)
+    atac.tss_profile_lists(points, sites, half_window=half_window).write.mode("overwrite").partitionBy(
+        "analysis_set_accession").parquet(paths["tss_profile"])
+    atac.tss_profile_of_pseudobulks(points, sites, assigned, half_window).write.mode(
         "overwrite").parquet(paths["tss_profile_pseudobulk"])
 
     members = atac.pseudobulk_fragments(fragments, assigned, chrom_sizes, seed)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cellbulk import schemas
 from cellbulk.functions.genomics import accession_of
+from cellbulk.functions.rows import slot_rows
 
 # The separators of the accepted suffixes.
 SEPARATORS = {".tsv": "\t", ".tsv.gz": "\t", ".csv": ",", ".csv.gz": ","}
@@ -170,9 +171,10 @@ def load_atac_qc(spark: SparkSession, path: str, where: Column | str | None = No
 
 
 def tss_rows_of(profile: DataFrame, kept: DataFrame) -> DataFrame:
-    """TSS profile rows of the barcodes kept by a QC filter."""
+    """TSS profile rows of the barcodes kept by a QC filter, from long form or from lists."""
     keys = ["analysis_set_accession", "barcode_sample"]
-    return profile.join(kept.select(*keys), keys, "left_semi")
+    rows = profile.join(kept.select(*keys), keys, "left_semi")
+    return slot_rows(rows) if "slots" in rows.columns else rows
 
 
 def file_listing(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:

@@ -30,8 +30,10 @@ def write_split_fragments(members: DataFrame, path: str) -> None:
     """Fragments and insertions per pseudobulk and accession, in four streams.
 
     ``members`` is read once: every fragment unfolds into its own row and its
-    insertions, which go to the pooled stream and to one replicate stream.
+    insertions, which go to the pooled stream and to one replicate stream. It is shuffled
+    before that, as one row.
     """
+    by = ["pseudobulk_id", "analysis_set_accession"]
     cut = G.insertion_sites(F.col("frag_start"), F.col("frag_end"))
     rep_stream = F.concat(F.lit("rep"), F.col("rep"))
 
@@ -40,11 +42,11 @@ def write_split_fragments(members: DataFrame, path: str) -> None:
         ["fragments", F.col("frag_start"), F.col("frag_end")],
         *[[stream, cut[i], cut[i] + 1] for stream in ("repT", rep_stream) for i in (0, 1)],
     )
-    flat = members.select("pseudobulk_id", "analysis_set_accession", "contig", "barcode_sample",
-                          "num_reads", rows).select(
-        "contig", "start", "end", "barcode_sample", "num_reads", "stream", "pseudobulk_id",
-        "analysis_set_accession")
-    write_partitioned(flat, path, ["stream", "pseudobulk_id", "analysis_set_accession"])
+    placed = members.select(*by, "contig", "frag_start", "frag_end", "barcode_sample", "num_reads", "rep").hint(
+        "rebalance", *[F.col(c) for c in by])
+    placed.select(*by, "contig", "barcode_sample", "num_reads", rows).select(
+        "contig", "start", "end", "barcode_sample", "num_reads", "stream", *by).write.mode(
+        "overwrite").partitionBy("stream", *by).parquet(path)
 
 
 def write_sorted_fragments(members: DataFrame, chrom_sizes: DataFrame, path: str) -> None:

@@ -62,6 +62,11 @@ def test_profile_equals_pairs_and_shuffles_no_row_per_slot(spark, heavy_rows):
     got = atac.tss_profile(points, sites, heavy_rows=heavy_rows)
     assert got.schema == want.schema and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert atac.tss_slots(points, sites).count() <= 60 < pairs.count()
+    lists = atac.tss_profile_lists(points, sites, heavy_rows=heavy_rows)
+    assert lists.count() == want.select("barcode_sample").distinct().count()
+    assert lists.where("array_sort(slots) != slots OR size(slots) != size(n)").isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()  # in long form only above all exchanges
+    assert plan.index("posexplode") < plan.index("RepartitionByExpression")
     known = spark.createDataFrame([("A", f"B{i}", f"p{i % 2}") for i in range(6)], [*atac.BARCODE, "pseudobulk_id"])
     summed = atac.tss_profile_of_pseudobulks(points, sites, known)
     kept = atac.tss_profile_pseudobulk(want, known)
