@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cellbulk import checks, schemas
 from cellbulk.catalog import Study, fragment_files
 from cellbulk.operators import annotation, atac, qc, report, rna
+from cellbulk.operators.intervals import levels_of
 from cellbulk.plans import atac as atac_plan
 from cellbulk.plans import peaks as peak_plan
 from cellbulk.plans import rna as rna_plan
@@ -219,3 +220,11 @@ def test_annotation_preparation(spark, study):
     sites = readers.scan_table(spark, paths["tss"], schema=schemas.TSS)
     assert genes.count() == sites.count() == study.part.count()
     assert annotation.tss_sites(sites).where("tss0 < 0").count() == 0
+
+
+def test_frip_reads_stored_members_and_spreads_peaks_on_used_levels(spark, study):
+    files = study.frip.inputFiles()
+    bins = {f.rsplit("/", 1)[0] for f in files if "/bins-" in f}
+    assert any("/members-" in f for f in files) and len(bins) == 1
+    used = {r[0] for r in spark.read.parquet(*bins).select("_level").distinct().collect()}
+    assert used and used <= set(levels_of(study.members, "frag_start", "frag_end"))
