@@ -26,7 +26,8 @@ def pseudobulk_rna(
                               paths["rna_qc"], ["analysis_set_accession"])
     writers.write_partitioned(rna.rna_subset(counts, assigned), paths["pseudobulk_counts"],
                               ["pseudobulk_id"])
+    kept = spark.read.parquet(paths["pseudobulk_counts"])
     writers.write_tsv(
-        rna.pseudobulk_expression(counts, gene_universe, gene_info, assigned, genes),
+        rna.pseudobulk_expression(counts, gene_universe, gene_info, assigned, genes, kept),
         paths["expression"], ["pseudobulk_id"])
     return paths

@@ -228,3 +228,13 @@ def test_frip_reads_stored_members_and_spreads_peaks_on_used_levels(spark, study
     assert any("/members-" in f for f in files) and len(bins) == 1
     used = {r[0] for r in spark.read.parquet(*bins).select("_level").distinct().collect()}
     assert used and used <= set(levels_of(study.members, "frag_start", "frag_end"))
+
+
+def test_expression_comes_from_the_stored_subset(spark, study):
+    whole = rna.pseudobulk_expression(study.counts, study.gene_universe, study.gene_info, study.assignments)
+    kept = rna.rna_subset(study.counts, study.assignments)
+    again = rna.pseudobulk_expression(study.counts.limit(0), study.gene_universe, study.gene_info, study.assignments, subset=kept)
+    assert same_rows(whole, again) and whole.count() > 0
+    apart = Study(spark, SF_DIR)
+    apart.store_counts()
+    assert all("/counts-" in f for f in apart.gene_universe.inputFiles()) and same_rows(apart.counts, study.counts)
