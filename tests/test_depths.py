@@ -2,13 +2,15 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cellbulk.catalog import QUERIES
 from cellbulk.functions import depths
-from cellbulk.operators.peaks import scored_segments
-from cellbulk.operators.tracks import coverage, depth_zooms, overlay, window_depths, zoom_levels
+from cellbulk.operators.peaks import fisher_track, fisher_track_of_counts, scored_segments
+from cellbulk.operators.tracks import coverage, depth_zooms, overlay, runs_end_near, window_depths, zoom_levels
 
 ROWS = [("a", 10_000 * i, 2) for i in range(1, 9)]  # one run over eight windows
 ROWS += [("a", 300_000, 1), ("b", 0, 3), ("b", 0, 1), ("b", 4096, 1), ("b", 12_288, 5), ("c", 5, 7)]
@@ -80,3 +82,75 @@ def test_overlay_shuffles_runs_and_not_their_ends(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate inline") < plan.index("RepartitionByExpression")  # above it, so after the exchange
     assert [(r.start, r.end) for r in found.orderBy("start").collect()] == [(10 * i, 10 * i + 9) for i in range(50)]
+
+
+@pytest.mark.parametrize("clip", [True, False])
+@pytest.mark.parametrize("widths", [[1], [150, 10_000], [7, 2]])
+def test_depths_base_by_base_equal_edges(monkeypatch, widths, clip):
+    draw = np.random.default_rng(3)
+    for points in (draw.integers(0, 900, 700), draw.integers(0, 20_000, 300), np.arange(0, 500), np.array([4, 4, 4])):
+        weights = draw.integers(1, 4, len(points))
+        got = []
+        for dense in (0, 1 << 40):
+            monkeypatch.setattr(depths, "DENSE", dense)
+            got.append(depths.changes(points, weights, widths, clip))
+        assert got[0][0].tolist() == got[1][0].tolist() and len(got[0][0])
+        assert [d.tolist() for d in got[0][1]] == [d.tolist() for d in got[1][1]]
+
+
+REP_COUNTS = "pseudobulk_id string, rep string, contig string, pos long, n long"
+
+
+def pooled(rows):
+    """Counts of both replicates with those of the pooled set."""
+    total = {}
+    for p, _, c, at, n in rows:
+        total[p, c, at] = total.get((p, c, at), 0) + n
+    return rows + [(p, "t", c, at, n) for (p, c, at), n in total.items()]
+
+
+@pytest.mark.parametrize("tile", [1 << 12, 10_000, 1 << 20])
+def test_fisher_of_counts_equals_overlaid_segments(spark, tile):
+    draw, seen = random.Random(5), {}
+    for p, c, top, n in (("x", "a", 60_000, 300), ("x", "b", 9000, 40), ("y", "a", 200_000, 60), ("y", "off", 500, 9)):
+        for _ in range(n):
+            key = p, draw.choice("12"), c, draw.randrange(top)
+            seen[key] = seen.get(key, 0) + 1
+    rows = [(*k, n) for k, n in seen.items()] + [("x", "1", "d", 70, 2), ("x", "2", "d", 100, 2), ("z", "1", "a", 5, 1)]
+    counts = spark.createDataFrame(pooled(rows), REP_COUNTS)
+    sizes = spark.createDataFrame([("a", 50_000, 1), ("b", 20_000, 2), ("d", 100_000, 3)], "chr string, size long, chrom_order int")
+    want = fisher_track(scored_segments(counts, 1_000_000), sizes).withColumn("value", F.round("value", 8))
+    for in_order in (False, True):
+        got = fisher_track_of_counts(counts, 1_000_000, sizes, in_order=in_order, tile=tile).withColumn("value", F.round("value", 8))
+        assert got.columns == want.columns and got.count() == want.count() > 500
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_fisher_of_counts_where_runs_never_end_near(spark):
+    rows = [("x", r, "a", 50 * i, 1) for i in range(2000) for r in "12"]
+    counts = spark.createDataFrame(pooled(rows), REP_COUNTS)
+    widths, keys, tile = {"p": 150, "c": 10_000}, ["pseudobulk_id", "rep", "contig"], 1 << 14
+    assert runs_end_near(counts, "pos", "n", widths, keys, tile=tile) == 0
+    assert runs_end_near(counts.where("pos < 40000 OR pos % 800 = 0"), "pos", "n", widths, keys, tile=tile) == 0
+    assert runs_end_near(counts.where("pos < 2000"), "pos", "n", widths, keys, tile=tile) == 10_000
+    sizes = spark.createDataFrame([("a", 200_000, 1)], "chr string, size long, chrom_order int")
+    want = fisher_track(scored_segments(counts, 1_000_000), sizes)
+    got = fisher_track_of_counts(counts, 1_000_000, sizes, tile=tile)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() > 100
+    assert not want.where("end - start > 16384").isEmpty()
+
+
+@pytest.mark.parametrize("tile", [1 << 12, 1 << 20])
+def test_depths_that_look_ahead_equal_those_of_two_passes(spark, tile):
+    points = spark.createDataFrame(ROWS[8:], "contig string, pos long, n long")
+    widths = {"p": 150, "c": 10_000}
+    ahead = runs_end_near(points, "pos", "n", widths, tile=tile)
+    want = window_depths(points, "pos", "n", widths, tile=tile)
+    got = window_depths(points, "pos", "n", widths, tile=tile, ahead=ahead)
+    assert ahead == 10_000 and got.columns == want.columns and got.count() == want.count() > 400
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_fisher_query_shuffles_counts_and_not_segments(spark):
+    plan = QUERIES["fisher_combine"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("FlatMapGroupsInArrow") == plan.count("RepartitionByExpression") == 1
