@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cellbulk import checks, schemas
 from cellbulk.catalog import Study, fragment_files
 from cellbulk.operators import annotation, atac, qc, report, rna
+from cellbulk.operators import peaks as peak_ops
 from cellbulk.operators.intervals import levels_of
 from cellbulk.plans import atac as atac_plan
 from cellbulk.plans import peaks as peak_plan
@@ -238,3 +239,36 @@ def test_expression_comes_from_the_stored_subset(spark, study):
     apart = Study(spark, SF_DIR)
     apart.store_counts()
     assert all("/counts-" in f for f in apart.gene_universe.inputFiles()) and same_rows(apart.counts, study.counts)
+
+
+def test_peak_plan_makes_tracks_from_counts_in_genome_order(spark, study, monkeypatch):
+    out = new_folder(spark, "peaks")
+    with monkeypatch.context() as patch:
+        patch.setattr(peak_ops, "overlay", None)  # segments are neither overlaid nor shuffled to be written
+        patch.setattr(peak_plan.writers, "in_genome_order", None)
+        paths = peak_plan.call_peaks(spark, study.members, study.chrom_sizes, study.blacklist, out, genome_size=100_000_000)
+    counts, segments = (spark.read.parquet(paths[name]) for name in ("insertion_counts", "segments"))
+    assert same_rows(counts, study.insertion_counts)
+    assert same_rows(segments, peak_ops.scored_segments(counts, 100_000_000).select(segments.columns))
+    wanted = {"pvalue_track": peak_ops.fisher_track(segments, study.chrom_sizes).withColumn("value", F.round("value", 8)),
+              "raw_insertions": peak_ops.raw_insertion_track(counts)}
+    order = {r.chr: r.chrom_order for r in study.chrom_sizes.collect()}
+    for name, want in wanted.items():
+        got = spark.read.parquet(paths[name])
+        rounded = got.withColumn("value", F.round("value", 8)) if name == "pvalue_track" else got
+        assert same_rows(rounded, want)
+        rows = got.where("pseudobulk_id = 'annotation_0-SM0'").select(
+            "contig", "start", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")).collect()
+        keys = [(order[r.contig], r.start) for r in sorted(rows, key=lambda r: (r.file, r.at))]
+        assert keys == sorted(keys) and len(keys) > 20
+
+
+def test_raw_track_in_order_where_a_run_passes_tiles(spark, study):
+    flat = spark.range(1 << 20, (1 << 20) + 40_000).select(
+        F.lit("p").alias("pseudobulk_id"), F.lit("t").alias("rep"), F.lit("chr2").alias("contig"),
+        (F.col("id") - 20_000).alias("pos"), F.lit(1).cast("long").alias("n"))
+    ends = [(1 << 20) - 20_000, (1 << 20) + 20_000]
+    for counts, want in ((flat, [("p", "chr2", *ends, 1)]), (flat.where(f"pos <> {(1 << 20) + 50}"), 2)):
+        got = peak_ops.raw_insertion_track_in_order(counts, study.chrom_sizes).drop("chrom_order")
+        assert [tuple(r) for r in got.collect()] == want if isinstance(want, list) else got.count() == want
+        assert same_rows(got, peak_ops.raw_insertion_track(counts))
