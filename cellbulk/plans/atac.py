@@ -41,10 +41,10 @@ def split_fragments(
 
     # The whole profile, so that other smoothing and flanks can be tried afterwards. It is written
     # as the tasks that make it hold it, a row with lists per barcode.
-    points = atac.insertions(fragments)
-    atac.tss_profile_lists(points, sites, half_window=half_window).write.mode("overwrite").partitionBy(
-        "analysis_set_accession").parquet(paths["tss_profile"])
-    atac.tss_profile_of_pseudobulks(points, sites, assigned, half_window).write.mode(
+    lists = atac.tss_profile_lists(atac.insertions(fragments), sites, half_window=half_window)
+    lists.write.mode("overwrite").partitionBy("analysis_set_accession").parquet(paths["tss_profile"])
+    profile = spark.read.schema(lists.schema).parquet(paths["tss_profile"])
+    atac.tss_profile_of_lists(profile, assigned, half_window).write.mode(
         "overwrite").parquet(paths["tss_profile_pseudobulk"])
 
     members = atac.pseudobulk_fragments(fragments, assigned, chrom_sizes, seed)
